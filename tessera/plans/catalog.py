@@ -103,3 +103,85 @@ def q_scores_roundtrip(spark, d):
     T.write_scores(_corpus_tfidf(spark, d), path, val="tfidf")
     back = T.read_scores(spark, path)
     return back.select("term", r6(F.col("val")).alias("val"))
+
+
+# ===================================================================== graph
+from tessera.operators import graph as G  # noqa: E402
+
+
+def r9(c):
+    return F.round(c, 9)
+
+
+@query("graph_out_edges")
+def q_graph_out_edges(spark, d):
+    return G.out_edges(S.link_edges(spark, d))
+
+
+@query("graph_nodes")
+def q_graph_nodes(spark, d):
+    return G.graph_nodes(S.supply_edges(spark, d))
+
+
+@query("graph_degree")
+def q_graph_degree(spark, d):
+    return G.degree(S.part_supplier(spark, d))
+
+
+@query("pagerank")
+def q_pagerank(spark, d):
+    pr = G.pagerank(S.supply_edges(spark, d), mode="standard")
+    return pr.select("node", r9(F.col("score")).alias("score"))
+
+
+@query("pagerank_reference")
+def q_pagerank_reference(spark, d):
+    pr = G.pagerank(S.supply_edges(spark, d), mode="reference")
+    return pr.select("node", r9(F.col("score")).alias("score"))
+
+
+@query("pagerank_links")
+def q_pagerank_links(spark, d):
+    pr = G.pagerank(S.link_edges(spark, d), mode="standard")
+    return pr.select("node", r9(F.col("score")).alias("score"))
+
+
+@query("pagerank_nations")
+def q_pagerank_nations(spark, d):
+    """Parallel edges: every line item is one customer-nation -> supplier-nation edge."""
+    pr = G.pagerank(S.nation_edges(spark, d), mode="reference")
+    return pr.select("node", r9(F.col("score")).alias("score"))
+
+
+@query("wl_coloring")
+def q_wl_coloring(spark, d):
+    return G.wl_coloring(S.place_tree(spark, d))
+
+
+@query("wl_coloring_part_supplier")
+def q_wl_coloring_ps(spark, d):
+    return G.wl_coloring(S.part_supplier(spark, d))
+
+
+@query("color_classes")
+def q_color_classes(spark, d):
+    e = S.part_supplier(spark, d)
+    return G.color_classes(G.wl_coloring(e), G.wl_coloring(S.relabel(e)))
+
+
+@query("isomorphism_relabelled")
+def q_iso_relabelled(spark, d):
+    e = S.part_supplier(spark, d)
+    return G.isomorphism_test(G.wl_coloring(e), G.wl_coloring(S.relabel(e)))
+
+
+@query("isomorphism_edge_removed")
+def q_iso_edge_removed(spark, d):
+    e = S.part_supplier(spark, d)
+    return G.isomorphism_test(G.wl_coloring(e), G.wl_coloring(S.relabel(S.drop_one_edge(e))))
+
+
+@query("isomorphism_tree")
+def q_iso_tree(spark, d):
+    e = S.place_tree(spark, d)
+    return G.isomorphism_test(G.wl_coloring(e), G.wl_coloring(S.relabel(e)))

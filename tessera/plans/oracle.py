@@ -96,3 +96,225 @@ FROM na LEFT JOIN dot USING (lang) CROSS JOIN nb"""
 @sql("scores_roundtrip")
 def _():
     return f"WITH {CORPUS_TFIDF} SELECT term, round(tfidf, 6) AS val FROM tfidf"
+
+
+# ===================================================================== graph
+SUPPLY_EDGES = """
+supply_edges AS (
+  SELECT DISTINCT src, dst FROM (
+    SELECT 'C' || o.o_custkey::VARCHAR AS src, 'P' || l.l_partkey::VARCHAR AS dst
+      FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+    UNION ALL
+    SELECT 'P' || l_partkey::VARCHAR, 'S' || l_suppkey::VARCHAR FROM lineitem
+    UNION ALL
+    SELECT 'S' || l_suppkey::VARCHAR, 'P' || l_partkey::VARCHAR FROM lineitem
+      WHERE l_returnflag = 'R' AND l_suppkey % 2 = 0))"""
+
+NATION_EDGES = """
+nation_edges AS (
+  SELECT c.c_nationkey AS src, s.s_nationkey AS dst
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN supplier s ON l.l_suppkey = s.s_suppkey)"""
+
+LINK_EDGES = """
+link_edges AS (
+  SELECT page_id::VARCHAR AS src,
+         unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS dst
+  FROM pages)"""
+
+PART_SUPPLIER = """
+part_supplier AS (
+  SELECT DISTINCT 'P' || l_partkey::VARCHAR AS src, 'S' || l_suppkey::VARCHAR AS dst
+  FROM lineitem)"""
+
+PLACE_TREE = """
+place_tree AS (
+  SELECT 'C' || c_custkey::VARCHAR AS src, 'N' || c_nationkey::VARCHAR AS dst FROM customer
+  UNION ALL
+  SELECT 'N' || n_nationkey::VARCHAR, 'R' || n_regionkey::VARCHAR FROM nation)"""
+
+
+def relabel_sql(name, of):
+    return f"{name} AS (SELECT 'X' || md5(src) AS src, 'X' || md5(dst) AS dst FROM {of})"
+
+
+def drop_one_edge_sql(name, of):
+    return (f"{name} AS (SELECT src, dst FROM {of} WHERE md5(src || '|' || dst) <> "
+            f"(SELECT min(md5(src || '|' || dst)) FROM {of}))")
+
+
+def _f(x):
+    return f"CAST({float(x)!r} AS DOUBLE)"
+
+
+def pagerank_sql(edges, mode, gamma=0.15, max_iter=50, eps=0.01, p="pr"):
+    """CTEs computing PageRank over CTE ``edges``; final table ``{p}_out(node, score)``."""
+    ctes = [
+        f"{p}_mult AS (SELECT src, dst, count(*) AS mult FROM {edges} GROUP BY src, dst)",
+        f"{p}_adj AS MATERIALIZED (SELECT m.src, m.dst, m.mult, d.deg FROM {p}_mult m "
+        f"JOIN (SELECT src, sum(mult) AS deg FROM {p}_mult GROUP BY src) d USING (src))",
+        f"{p}_nodes AS MATERIALIZED (SELECT src AS node FROM {edges} UNION "
+        f"SELECT dst FROM {edges})",
+        f"{p}_n AS (SELECT count(*)::DOUBLE AS n FROM {p}_nodes)",
+        f"{p}_s0 AS MATERIALIZED (SELECT node, 1.0::DOUBLE / (SELECT n FROM {p}_n) AS score "
+        f"FROM {p}_nodes)",
+    ]
+    base = f"({_f(gamma)} / (SELECT n FROM {p}_n))"
+    damp = _f(1.0 - gamma)
+    for i in range(1, max_iter + 1):
+        contrib = (f"SELECT m.dst AS node, sum(s.score * m.mult / m.deg) AS c "
+                   f"FROM {p}_adj m JOIN {p}_s{i-1} s ON m.src = s.node GROUP BY m.dst")
+        if mode == "standard":
+            body = (f"SELECT q.node, {damp} * coalesce(c.c, 0) + {base} AS score "
+                    f"FROM {p}_nodes q LEFT JOIN ({contrib}) c USING (node)")
+        else:
+            body = f"SELECT node, {damp} * c + {base} AS score FROM ({contrib})"
+        ctes.append(f"{p}_s{i} AS MATERIALIZED ({body})")
+        ctes.append(f"{p}_e{i} AS (SELECT {i} AS i, coalesce(sum(abs(a.score - b.score)), 0) "
+                    f"AS err FROM {p}_s{i-1} a JOIN {p}_s{i} b USING (node))")
+    errs = " UNION ALL ".join(f"SELECT * FROM {p}_e{i}" for i in range(1, max_iter + 1))
+    ctes.append(f"{p}_stop AS (SELECT coalesce(min(i), {max_iter}) AS i FROM ({errs}) "
+                f"WHERE err <= {_f(eps)})")
+    allr = " UNION ALL ".join(f"SELECT {i} AS i, node, score FROM {p}_s{i}"
+                              for i in range(1, max_iter + 1))
+    ctes.append(f"{p}_pick AS (SELECT node, score FROM ({allr}) "
+                f"WHERE i = (SELECT i FROM {p}_stop))")
+    if mode == "standard":
+        ctes.append(f"{p}_out AS (SELECT node, score FROM {p}_pick)")
+    else:
+        ctes.append(f"{p}_out AS (SELECT node, score FROM {p}_pick UNION ALL "
+                    f"SELECT node, {base} AS score FROM {p}_nodes "
+                    f"WHERE node NOT IN (SELECT node FROM {p}_pick))")
+    return ",\n".join(ctes)
+
+
+def wl_sql(edges, max_iter=20, p="wl"):
+    """CTEs of WL colouring over CTE ``edges``; final table ``{p}_out(node, color)``."""
+    ctes = [
+        f"{p}_sym AS (SELECT src, dst FROM {edges} UNION ALL SELECT dst, src FROM {edges})",
+        f"{p}_adj AS MATERIALIZED (SELECT src, dst, count(*) AS mult FROM {p}_sym "
+        f"GROUP BY src, dst)",
+        f"{p}_c0 AS MATERIALIZED (SELECT DISTINCT src AS node, '1' AS color FROM {p}_sym)",
+    ]
+    for i in range(1, max_iter + 1):
+        ctes.append(
+            f"{p}_c{i} AS MATERIALIZED (SELECT a.dst AS node, md5("
+            f"sum(c.h1 * a.mult)::VARCHAR || '.' || sum(c.h2 * a.mult)::VARCHAR || '.' || "
+            f"sum(a.mult)::VARCHAR) AS color FROM {p}_adj a JOIN ("
+            f"SELECT node, ('0x' || substr(md5(color), 1, 13))::BIGINT::HUGEINT AS h1, "
+            f"('0x' || substr(md5(color), 14, 13))::BIGINT::HUGEINT AS h2 FROM {p}_c{i-1}) c "
+            f"ON a.src = c.node GROUP BY a.dst)")
+    ks = " UNION ALL ".join([f"SELECT 0 AS i, 1 AS k"] + [
+        f"SELECT {i} AS i, count(DISTINCT color) AS k FROM {p}_c{i}"
+        for i in range(1, max_iter + 1)])
+    ctes.append(f"{p}_k AS MATERIALIZED ({ks})")
+    ctes.append(f"{p}_stop AS (SELECT coalesce(min(b.i), {max_iter}) AS i FROM {p}_k a "
+                f"JOIN {p}_k b ON b.i = a.i + 1 WHERE a.k = b.k)")
+    allr = " UNION ALL ".join(f"SELECT {i} AS i, node, color FROM {p}_c{i}"
+                              for i in range(1, max_iter + 1))
+    ctes.append(f"{p}_out AS (SELECT node, color FROM ({allr}) "
+                f"WHERE i = (SELECT i FROM {p}_stop))")
+    return ",\n".join(ctes)
+
+
+def iso_sql(c1, c2):
+    return f"""SELECT n_nodes_1, n_nodes_2, n_colors_1, n_colors_2, mismatched_colors,
+  CASE WHEN n_nodes_1 <> n_nodes_2 OR mismatched_colors > 0 THEN 'not isomorphic'
+       WHEN n_colors_1 = n_nodes_1 THEN 'isomorphic' ELSE 'maybe isomorphic' END AS verdict
+FROM (
+  SELECT coalesce(sum(h1.c1), 0)::BIGINT AS n_nodes_1, coalesce(sum(h2.c2), 0)::BIGINT AS n_nodes_2,
+         count(h1.c1)::BIGINT AS n_colors_1, count(h2.c2)::BIGINT AS n_colors_2,
+         sum(CASE WHEN coalesce(h1.c1, 0) <> coalesce(h2.c2, 0) THEN 1 ELSE 0 END)::BIGINT
+           AS mismatched_colors
+  FROM (SELECT color, count(*) AS c1 FROM {c1} GROUP BY color) h1
+  FULL OUTER JOIN (SELECT color, count(*) AS c2 FROM {c2} GROUP BY color) h2 USING (color))"""
+
+
+@sql("graph_out_edges")
+def _():
+    return (f"WITH {LINK_EDGES} SELECT e.src, e.dst, d.out_degree FROM link_edges e "
+            f"JOIN (SELECT src, count(*)::BIGINT AS out_degree FROM link_edges GROUP BY src) d "
+            f"USING (src)")
+
+
+@sql("graph_nodes")
+def _():
+    return f"WITH {SUPPLY_EDGES} SELECT src AS node FROM supply_edges UNION SELECT dst FROM supply_edges"
+
+
+@sql("graph_degree")
+def _():
+    return (f"WITH {PART_SUPPLIER} SELECT node, count(*)::BIGINT AS degree FROM ("
+            f"SELECT src AS node FROM part_supplier UNION ALL SELECT dst FROM part_supplier) "
+            f"GROUP BY node")
+
+
+def _pr(edges_cte, edges, mode):
+    return (f"WITH {edges_cte},\n{pagerank_sql(edges, mode)}\n"
+            f"SELECT node, round(score, 9) AS score FROM pr_out")
+
+
+@sql("pagerank")
+def _():
+    return _pr(SUPPLY_EDGES, "supply_edges", "standard")
+
+
+@sql("pagerank_reference")
+def _():
+    return _pr(SUPPLY_EDGES, "supply_edges", "reference")
+
+
+@sql("pagerank_links")
+def _():
+    return _pr(LINK_EDGES, "link_edges", "standard")
+
+
+@sql("pagerank_nations")
+def _():
+    return _pr(NATION_EDGES, "nation_edges", "reference")
+
+
+@sql("wl_coloring")
+def _():
+    return f"WITH {PLACE_TREE},\n{wl_sql('place_tree')}\nSELECT node, color FROM wl_out"
+
+
+@sql("wl_coloring_part_supplier")
+def _():
+    return f"WITH {PART_SUPPLIER},\n{wl_sql('part_supplier')}\nSELECT node, color FROM wl_out"
+
+
+@sql("color_classes")
+def _():
+    return f"""WITH {PART_SUPPLIER}, {relabel_sql('g2', 'part_supplier')},
+{wl_sql('part_supplier', p='wa')},
+{wl_sql('g2', p='wb')},
+shared AS (SELECT DISTINCT color FROM wa_out INTERSECT SELECT DISTINCT color FROM wb_out)
+SELECT color, 1 AS side, node FROM wa_out JOIN shared USING (color)
+UNION ALL SELECT color, 2 AS side, node FROM wb_out JOIN shared USING (color)"""
+
+
+@sql("isomorphism_relabelled")
+def _():
+    return f"""WITH {PART_SUPPLIER}, {relabel_sql('g2', 'part_supplier')},
+{wl_sql('part_supplier', p='wa')},
+{wl_sql('g2', p='wb')}
+{iso_sql('wa_out', 'wb_out')}"""
+
+
+@sql("isomorphism_edge_removed")
+def _():
+    return f"""WITH {PART_SUPPLIER}, {drop_one_edge_sql('g1', 'part_supplier')},
+{relabel_sql('g2', 'g1')},
+{wl_sql('part_supplier', p='wa')},
+{wl_sql('g2', p='wb')}
+{iso_sql('wa_out', 'wb_out')}"""
+
+
+@sql("isomorphism_tree")
+def _():
+    return f"""WITH {PLACE_TREE}, {relabel_sql('g2', 'place_tree')},
+{wl_sql('place_tree', p='wa')},
+{wl_sql('g2', p='wb')}
+{iso_sql('wa_out', 'wb_out')}"""
