@@ -185,3 +185,164 @@ def q_iso_edge_removed(spark, d):
 def q_iso_tree(spark, d):
     e = S.place_tree(spark, d)
     return G.isomorphism_test(G.wl_coloring(e), G.wl_coloring(S.relabel(e)))
+
+
+# ============================================================ recommenders
+from tessera.operators import recommend as C  # noqa: E402
+from tessera.sources import files as IO  # noqa: E402
+
+ITEM_K, USER_K, TOP_N = 40, 20, 10
+
+
+def _split(spark, d):
+    return C.train_test_split(S.ratings(spark, d))
+
+
+def _item_recs(spark, d):
+    train, test = _split(spark, d)
+    recs = C.item_cf_recommend(train, C.item_similarity(train), ITEM_K, TOP_N)
+    return train, test, recs
+
+
+def _user_recs(spark, d):
+    train, test = _split(spark, d)
+    recs = C.user_cf_recommend(train, C.user_similarity(train), USER_K, TOP_N)
+    return train, test, recs
+
+
+@query("read_interactions")
+def q_read_interactions(spark, d):
+    """Write the ratings as header-less CSV and read them back with a schema."""
+    path = os.path.join(ensure_checkpoint_dir(spark), f"ratings-{uuid.uuid4().hex}")
+    IO.write_interactions(S.ratings(spark, d), path, header=False)
+    back = IO.read_interactions(spark, path, header=False)
+    return back.select("user", "item", r6(F.col("rating")).alias("rating"))
+
+
+@query("train_test_split")
+def q_train_test_split(spark, d):
+    train, test = _split(spark, d)
+    return (train.select("user", "item", F.lit("train").alias("part"))
+            .unionByName(test.select("user", "item", F.lit("test").alias("part"))))
+
+
+@query("item_popularity")
+def q_item_popularity(spark, d):
+    train, _ = _split(spark, d)
+    return C.item_popularity(train)
+
+
+@query("item_cooccurrence")
+def q_item_cooccurrence(spark, d):
+    train, _ = _split(spark, d)
+    return C.item_cooccurrence(train)
+
+
+@query("item_similarity")
+def q_item_similarity(spark, d):
+    train, _ = _split(spark, d)
+    return C.item_similarity(train).select("i", "j", r6(F.col("sim")).alias("sim"))
+
+
+@query("item_cf_recommend")
+def q_item_cf_recommend(spark, d):
+    _, _, recs = _item_recs(spark, d)
+    return recs.select("user", "item", r6(F.col("score")).alias("score"), "rank")
+
+
+@query("item_cf_hits")
+def q_item_cf_hits(spark, d):
+    train, test, recs = _item_recs(spark, d)
+    return C.rec_hits(recs, train, test, TOP_N)
+
+
+@query("item_cf_precision_recall")
+def q_item_cf_pr(spark, d):
+    train, test, recs = _item_recs(spark, d)
+    pr = C.precision_recall(C.rec_hits(recs, train, test, TOP_N))
+    return pr.select("hits", "rec_count", "test_count", r6(F.col("precision")).alias("precision"),
+                     r6(F.col("recall")).alias("recall"))
+
+
+@query("item_cf_coverage")
+def q_item_cf_coverage(spark, d):
+    train, _, recs = _item_recs(spark, d)
+    cov = C.coverage(recs, train)
+    return cov.select("rec_items", "train_items", r6(F.col("coverage")).alias("coverage"))
+
+
+@query("item_cf_popularity")
+def q_item_cf_popularity(spark, d):
+    train, _, recs = _item_recs(spark, d)
+    p = C.mean_popularity(recs, train, TOP_N)
+    return p.select(r6(F.col("pop_sum")).alias("pop_sum"), "rec_count",
+                    r6(F.col("popularity")).alias("popularity"))
+
+
+@query("item_cf_per_rating")
+def q_item_cf_per_rating(spark, d):
+    """Per-rating top-N lists merged per user; totals of hits, recs and test items."""
+    train, test = _split(spark, d)
+    recs = C.item_cf_recommend_per_rating(train, C.item_similarity(train), ITEM_K, TOP_N)
+    users = recs.select("user").distinct()
+    pr = C.precision_recall(C.rec_hits(recs, train, test, TOP_N, users=users))
+    return pr.select("hits", "rec_count", "test_count")
+
+
+@query("item_user_index")
+def q_item_user_index(spark, d):
+    train, _ = _split(spark, d)
+    return C.item_user_index(train)
+
+
+@query("user_cooccurrence")
+def q_user_cooccurrence(spark, d):
+    train, _ = _split(spark, d)
+    return C.user_cooccurrence(train)
+
+
+@query("user_similarity")
+def q_user_similarity(spark, d):
+    train, _ = _split(spark, d)
+    return C.user_similarity(train).select("u", "v", r6(F.col("sim")).alias("sim"))
+
+
+@query("user_cf_recommend")
+def q_user_cf_recommend(spark, d):
+    _, _, recs = _user_recs(spark, d)
+    return recs.select("user", "item", r6(F.col("score")).alias("score"), "rank")
+
+
+@query("user_cf_precision_recall")
+def q_user_cf_pr(spark, d):
+    train, test, recs = _user_recs(spark, d)
+    pr = C.precision_recall(C.rec_hits(recs, train, test, TOP_N))
+    return pr.select("hits", "rec_count", "test_count", r6(F.col("precision")).alias("precision"),
+                     r6(F.col("recall")).alias("recall"))
+
+
+@query("user_cf_coverage")
+def q_user_cf_coverage(spark, d):
+    train, _, recs = _user_recs(spark, d)
+    cov = C.coverage(recs, train)
+    return cov.select("rec_items", "train_items", r6(F.col("coverage")).alias("coverage"))
+
+
+@query("user_cf_popularity")
+def q_user_cf_popularity(spark, d):
+    train, _, recs = _user_recs(spark, d)
+    p = C.mean_popularity(recs, train, TOP_N)
+    return p.select(r6(F.col("pop_sum")).alias("pop_sum"), "rec_count",
+                    r6(F.col("popularity")).alias("popularity"))
+
+
+@query("sample_first")
+def q_sample_first(spark, d):
+    s = C.sample_first(S.ratings(spark, d), 20000)
+    return s.select("user", "item", r6(F.col("rating")).alias("rating"))
+
+
+@query("sample_fraction")
+def q_sample_fraction(spark, d):
+    s = C.sample_fraction(S.ratings(spark, d), 0.2)
+    return s.select("user", "item", r6(F.col("rating")).alias("rating"))

@@ -318,3 +318,217 @@ def _():
 {wl_sql('place_tree', p='wa')},
 {wl_sql('g2', p='wb')}
 {iso_sql('wa_out', 'wb_out')}"""
+
+
+# ============================================================ recommenders
+RATINGS = """
+ratings AS (
+  SELECT o.o_custkey AS "user", l.l_partkey AS item, avg(l.l_quantity) AS rating
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  GROUP BY o.o_custkey, l.l_partkey)"""
+
+SPLIT = RATINGS + """,
+split AS (
+  SELECT "user", item, rating,
+         ('0x' || substr(md5("user"::VARCHAR || '|' || item::VARCHAR), 1, 8))::BIGINT % 4 AS fold
+  FROM ratings),
+train AS (SELECT "user", item, rating FROM split WHERE fold <> 0),
+test AS (SELECT "user", item, rating FROM split WHERE fold = 0)"""
+
+
+def cooc_sql(group, member, a, b):
+    return f"""
+gm_{a} AS (SELECT DISTINCT {group} AS g, {member} AS m FROM train),
+half_{a} AS (SELECT x.m AS {a}, y.m AS {b}, count(*)::BIGINT AS co
+  FROM gm_{a} x JOIN gm_{a} y ON x.g = y.g AND x.m < y.m GROUP BY 1, 2),
+co_{a} AS (SELECT {a}, {b}, co FROM half_{a} UNION ALL SELECT {b} AS {a}, {a} AS {b}, co FROM half_{a})"""
+
+
+ITEM_SIM = SPLIT + "," + cooc_sql('"user"', "item", "i", "j") + """,
+pop AS (SELECT item, count(*)::BIGINT AS n FROM train GROUP BY item),
+sim_i AS (SELECT c.i, c.j, c.co / sqrt(p1.n * p2.n) AS sim
+  FROM co_i c JOIN pop p1 ON c.i = p1.item JOIN pop p2 ON c.j = p2.item)"""
+
+USER_SIM = SPLIT + "," + cooc_sql("item", '"user"', "u", "v") + """,
+ucount AS (SELECT "user", count(*)::BIGINT AS n FROM train GROUP BY "user"),
+sim_u AS (SELECT c.u, c.v, c.co / sqrt(p1.n * p2.n) AS sim
+  FROM co_u c JOIN ucount p1 ON c.u = p1."user" JOIN ucount p2 ON c.v = p2."user")"""
+
+
+def item_recs_sql(k=40, n=10):
+    return ITEM_SIM + f""",
+nb_i AS (SELECT i, j, sim FROM (SELECT i, j, sim, row_number() OVER (
+  PARTITION BY i ORDER BY round(sim, 9) DESC, j ASC) AS nrank FROM sim_i) WHERE nrank <= {k}),
+cand AS (SELECT t."user", nb.j AS item, nb.sim * t.rating AS s
+  FROM train t JOIN nb_i nb ON t.item = nb.i),
+cand2 AS (SELECT * FROM cand c WHERE NOT EXISTS (
+  SELECT 1 FROM train t WHERE t."user" = c."user" AND t.item = c.item)),
+scored AS (SELECT "user", item, sum(s) AS score FROM cand2 GROUP BY "user", item),
+recs AS (SELECT "user", item, score, rank FROM (SELECT *, row_number() OVER (
+  PARTITION BY "user" ORDER BY round(score, 6) DESC, item ASC)::INTEGER AS rank FROM scored)
+  WHERE rank <= {n})"""
+
+
+def user_recs_sql(k=20, n=10):
+    return USER_SIM + f""",
+nb_u AS (SELECT u, v, sim FROM (SELECT u, v, sim, row_number() OVER (
+  PARTITION BY u ORDER BY round(sim, 9) DESC, v ASC) AS nrank FROM sim_u) WHERE nrank <= {k}),
+hist AS (SELECT DISTINCT "user" AS v, item FROM train),
+cand AS (SELECT nb.u AS "user", h.item, nb.sim FROM nb_u nb JOIN hist h ON nb.v = h.v),
+cand2 AS (SELECT * FROM cand c WHERE NOT EXISTS (
+  SELECT 1 FROM train t WHERE t."user" = c."user" AND t.item = c.item)),
+scored AS (SELECT "user", item, sum(sim) AS score FROM cand2 GROUP BY "user", item),
+recs AS (SELECT "user", item, score, rank FROM (SELECT *, row_number() OVER (
+  PARTITION BY "user" ORDER BY round(score, 6) DESC, item ASC)::INTEGER AS rank FROM scored)
+  WHERE rank <= {n})"""
+
+
+HITS = """,
+users AS (SELECT DISTINCT "user" FROM train),
+test_items AS (SELECT DISTINCT "user", item FROM test),
+hits AS (
+  SELECT u."user", coalesce(h.hits, 0)::BIGINT AS hits, 10::BIGINT AS rec_count,
+         coalesce(tc.test_count, 0)::BIGINT AS test_count
+  FROM users u
+  LEFT JOIN (SELECT r."user", count(*) AS hits FROM recs r JOIN test_items t
+             ON r."user" = t."user" AND r.item = t.item GROUP BY r."user") h ON u."user" = h."user"
+  LEFT JOIN (SELECT "user", count(*) AS test_count FROM test_items GROUP BY "user") tc
+    ON u."user" = tc."user")"""
+
+PR = """
+SELECT sum(hits)::BIGINT AS hits, sum(rec_count)::BIGINT AS rec_count,
+       sum(test_count)::BIGINT AS test_count,
+       round(sum(hits)::DOUBLE / sum(rec_count), 6) AS precision,
+       round(sum(hits)::DOUBLE / sum(test_count), 6) AS recall
+FROM hits"""
+
+COVERAGE = """
+SELECT (SELECT count(DISTINCT item) FROM recs)::BIGINT AS rec_items,
+       (SELECT count(DISTINCT item) FROM train)::BIGINT AS train_items,
+       round((SELECT count(DISTINCT item) FROM recs)::DOUBLE /
+             (SELECT count(DISTINCT item) FROM train), 6) AS coverage"""
+
+POPULARITY = """
+SELECT round(coalesce(s.pop_sum, 0), 6) AS pop_sum, (u.n * 10)::BIGINT AS rec_count,
+       round(coalesce(s.pop_sum, 0) / (u.n * 10), 6) AS popularity
+FROM (SELECT sum(ln(1 + p.n)) AS pop_sum FROM recs r JOIN
+        (SELECT item, count(*) AS n FROM train GROUP BY item) p USING (item)) s,
+     (SELECT count(DISTINCT "user") AS n FROM train) u"""
+
+
+@sql("read_interactions")
+def _():
+    return f'WITH {RATINGS} SELECT "user", item, round(rating, 6) AS rating FROM ratings'
+
+
+@sql("train_test_split")
+def _():
+    return (f"WITH {SPLIT} SELECT \"user\", item, 'train' AS part FROM train "
+            f"UNION ALL SELECT \"user\", item, 'test' AS part FROM test")
+
+
+@sql("item_popularity")
+def _():
+    return f"WITH {SPLIT} SELECT item, count(*)::BIGINT AS popularity FROM train GROUP BY item"
+
+
+@sql("item_cooccurrence")
+def _():
+    return f"WITH {SPLIT}, {cooc_sql(chr(34) + 'user' + chr(34), 'item', 'i', 'j')} SELECT i, j, co FROM co_i"
+
+
+@sql("item_similarity")
+def _():
+    return f"WITH {ITEM_SIM} SELECT i, j, round(sim, 6) AS sim FROM sim_i"
+
+
+@sql("item_cf_recommend")
+def _():
+    return f'WITH {item_recs_sql()} SELECT "user", item, round(score, 6) AS score, rank FROM recs'
+
+
+@sql("item_cf_hits")
+def _():
+    return f'WITH {item_recs_sql()}{HITS} SELECT "user", hits, rec_count, test_count FROM hits'
+
+
+@sql("item_cf_precision_recall")
+def _():
+    return f"WITH {item_recs_sql()}{HITS} {PR}"
+
+
+@sql("item_cf_coverage")
+def _():
+    return f"WITH {item_recs_sql()} {COVERAGE}"
+
+
+@sql("item_cf_popularity")
+def _():
+    return f"WITH {item_recs_sql()} {POPULARITY}"
+
+
+@sql("item_cf_per_rating")
+def _():
+    return f"""WITH {ITEM_SIM},
+nb_i AS (SELECT i, j, sim FROM (SELECT i, j, sim, row_number() OVER (
+  PARTITION BY i ORDER BY round(sim, 9) DESC, j ASC) AS nrank FROM sim_i) WHERE nrank <= 40),
+cand AS (SELECT t."user", t.item AS src_item, nb.j AS item, nb.sim * t.rating AS score
+  FROM train t JOIN nb_i nb ON t.item = nb.i WHERE nb.j <> t.item),
+per_row AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "user", src_item
+  ORDER BY round(score, 6) DESC, item ASC) AS r FROM cand) WHERE r <= 10),
+recs AS (SELECT * FROM (SELECT "user", src_item, item, score, row_number() OVER (
+  PARTITION BY "user" ORDER BY round(score, 6) DESC, item ASC, src_item ASC) AS rank
+  FROM per_row) WHERE rank <= 10),
+test_items AS (SELECT DISTINCT "user", item FROM test),
+rusers AS (SELECT DISTINCT "user" FROM recs)
+SELECT (SELECT count(*) FROM recs r JOIN test_items t USING ("user", item))::BIGINT AS hits,
+       (SELECT count(*) * 10 FROM rusers)::BIGINT AS rec_count,
+       (SELECT count(*) FROM test_items JOIN rusers USING ("user"))::BIGINT AS test_count"""
+
+
+@sql("item_user_index")
+def _():
+    return f'WITH {SPLIT} SELECT DISTINCT item, "user" FROM train'
+
+
+@sql("user_cooccurrence")
+def _():
+    return f"WITH {SPLIT}, {cooc_sql('item', chr(34) + 'user' + chr(34), 'u', 'v')} SELECT u, v, co FROM co_u"
+
+
+@sql("user_similarity")
+def _():
+    return f"WITH {USER_SIM} SELECT u, v, round(sim, 6) AS sim FROM sim_u"
+
+
+@sql("user_cf_recommend")
+def _():
+    return f'WITH {user_recs_sql()} SELECT "user", item, round(score, 6) AS score, rank FROM recs'
+
+
+@sql("user_cf_precision_recall")
+def _():
+    return f"WITH {user_recs_sql()}{HITS} {PR}"
+
+
+@sql("user_cf_coverage")
+def _():
+    return f"WITH {user_recs_sql()} {COVERAGE}"
+
+
+@sql("user_cf_popularity")
+def _():
+    return f"WITH {user_recs_sql()} {POPULARITY}"
+
+
+@sql("sample_first")
+def _():
+    return (f'WITH {RATINGS} SELECT "user", item, round(rating, 6) AS rating FROM ratings '
+            f'ORDER BY "user", item LIMIT 20000')
+
+
+@sql("sample_fraction")
+def _():
+    return (f"WITH {RATINGS} SELECT \"user\", item, round(rating, 6) AS rating FROM ratings "
+            f"WHERE (('0x' || substr(md5(\"user\"::VARCHAR || '|' || item::VARCHAR), 1, 8))::BIGINT "
+            f"+ 0.5) / 4294967296.0 < 0.2")
