@@ -197,9 +197,9 @@ def precision_recall(hits: DataFrame) -> DataFrame:
 def coverage(recs: DataFrame, train: DataFrame, item: str = "item") -> DataFrame:
     """C14: distinct recommended items / distinct train items."""
     a = recs.agg(F.countDistinct("item").alias("rec_items"))
-    b = train.agg(F.countDistinct(item).alias("train_items"))
-    return a.crossJoin(b).select(
-        "rec_items", "train_items",
+    b = train.select(F.countDistinct(item)).scalar()
+    return a.select(
+        "rec_items", b.alias("train_items"),
         F.try_divide(F.col("rec_items").cast("double"), F.col("train_items")).alias("coverage"))
 
 
@@ -211,8 +211,8 @@ def mean_popularity(recs: DataFrame, train: DataFrame, n: int = N_REC, users: Da
     pop = item_popularity(train, item).withColumnRenamed(item, "item")
     s = (recs.select("item").join(pop, "item")
          .agg(F.sum(F.log1p(F.col("popularity"))).alias("pop_sum")))
-    u = users.agg(F.count(F.lit(1)).alias("n_users"))
-    return s.crossJoin(u).select(
+    u = users.select(F.count(F.lit(1))).scalar()
+    return s.withColumn("n_users", u).select(
         F.coalesce("pop_sum", F.lit(0.0)).alias("pop_sum"),
         (F.col("n_users") * F.lit(n)).alias("rec_count"),
         F.try_divide(F.coalesce("pop_sum", F.lit(0.0)),

@@ -35,13 +35,12 @@ def inverse_document_frequency(docs: DataFrame, tokens: DataFrame, doc: str = "d
 
     ``df`` counts each term once per document: the (doc, term) pairs are
     de-duplicated by a partial+final aggregation, then counted per term.  N is a
-    one-row aggregate, joined by broadcast (its size is exactly one row).
+    scalar subquery, evaluated once and inlined as a value.
     """
-    n_docs = docs.agg(F.count(F.lit(1)).alias("_n"))
+    n_docs = docs.select(F.count(F.lit(1))).scalar()
     dfreq = (tokens.select(doc, term).distinct()
              .groupBy(term).agg(F.count(F.lit(1)).alias("df")))
-    return (dfreq.crossJoin(F.broadcast(n_docs))
-            .select(term, F.log(F.col("_n") / F.col("df")).alias("idf")))
+    return dfreq.select(term, F.log(n_docs / F.col("df")).alias("idf"))
 
 
 def tfidf(tf: DataFrame, idf: DataFrame, term: str = "term", strict: bool = False) -> DataFrame:
@@ -77,11 +76,13 @@ def cosine_similarity(a: DataFrame, b: DataFrame, by: tuple[str, ...] = (),
     dot = (a.join(b.select(term, F.col(val).alias("_b")), term)
            .groupBy(*by).agg(F.sum(F.col(val) * F.col("_b")).alias("dot")))
     na = a.groupBy(*by).agg(F.sum(F.col(val) * F.col(val)).alias("na"))
-    nb = b.agg(F.sum(F.col(val) * F.col(val)).alias("nb"))
-    joined = (na.join(dot, list(by), "left") if by else na.crossJoin(dot))
-    return (joined.crossJoin(F.broadcast(nb))
-            .select(*by, F.try_divide(F.coalesce(F.col("dot"), F.lit(0.0)),
-                                      F.sqrt(F.col("na") * F.col("nb"))).alias("cosine")))
+    nb = b.select(F.sum(F.col(val) * F.col(val))).scalar()
+    if by:
+        joined = na.join(dot, list(by), "left")
+    else:
+        joined = na.select("na", dot.select("dot").scalar().alias("dot"))
+    return joined.select(*by, F.try_divide(F.coalesce(F.col("dot"), F.lit(0.0)),
+                                           F.sqrt(F.col("na") * nb)).alias("cosine"))
 
 
 SCORE_SCHEMA = "term STRING, val DOUBLE"

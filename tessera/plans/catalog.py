@@ -346,3 +346,179 @@ def q_sample_first(spark, d):
 def q_sample_fraction(spark, d):
     s = C.sample_fraction(S.ratings(spark, d), 0.2)
     return s.select("user", "item", r6(F.col("rating")).alias("rating"))
+
+
+# ===================================================================== ridge
+from tessera.operators import ridge as R  # noqa: E402
+from tessera.operators import logistic as L  # noqa: E402
+from tessera.functions.expr import hash_unit  # noqa: E402
+
+RIDGE_BETA = [0.5, 0.1, -0.2]
+RIDGE_LAM = 0.1
+
+
+@query("read_dense")
+def q_read_dense(spark, d):
+    """Write the price rows as header-less CSV and read them back as (x, y)."""
+    path = os.path.join(ensure_checkpoint_dir(spark), f"dense-{uuid.uuid4().hex}")
+    rows = S.price_rows(spark, d)
+    rows.select(*[F.col("x")[i].alias(f"c{i}") for i in range(3)], "y").write.csv(path)
+    back = IO.read_dense(spark, path, 4)
+    # single IEEE operations, identical in every engine: compared unrounded
+    return back.select(*[F.col("x")[i].alias(f"x{i}") for i in range(3)], "y")
+
+
+@query("ridge_objective")
+def q_ridge_objective(spark, d):
+    o = R.ridge_objective(S.price_rows(spark, d), RIDGE_BETA, RIDGE_LAM)
+    return o.select(r6(F.col("objective")).alias("objective"))
+
+
+@query("ridge_gradient")
+def q_ridge_gradient(spark, d):
+    g = R.ridge_gradient(S.price_rows(spark, d), RIDGE_BETA, RIDGE_LAM)
+    return g.select("idx", r6(F.col("grad")).alias("grad"))
+
+
+@query("ridge_line_search")
+def q_ridge_line_search(spark, d):
+    data = S.price_rows(spark, d)
+    g = [r["grad"] for r in R.ridge_gradient(data, RIDGE_BETA, RIDGE_LAM).orderBy("idx").collect()]
+    t = R.ridge_line_search(data, RIDGE_BETA, g, RIDGE_LAM)
+    return spark.createDataFrame([(round(t, 6),)], "step DOUBLE")
+
+
+@query("ridge_train")
+def q_ridge_train(spark, d):
+    """Gradient descent from zeros, lambda 0.1, <= 100 steps, eps 0.01."""
+    m = R.ridge_train_df(S.price_rows(spark, d), lam=RIDGE_LAM, max_iter=100, eps=0.01)
+    return m.select("idx", r6(F.col("beta")).alias("beta"), r6(F.col("grad_norm")).alias("grad_norm"),
+                    "iterations")
+
+
+@query("ridge_predict")
+def q_ridge_predict(spark, d):
+    p = R.ridge_predict(S.price_rows(spark, d), RIDGE_BETA)
+    return p.select("y", (F.col("yhat") + F.lit(0.0)).alias("yhat"))
+
+
+@query("ridge_mse")
+def q_ridge_mse(spark, d):
+    return R.ridge_mse(S.price_rows(spark, d), RIDGE_BETA).select(r6(F.col("mse")).alias("mse"))
+
+
+@query("ridge_gradient_check")
+def q_ridge_gradient_check(spark, d):
+    g = R.gradient_check(S.price_rows(spark, d), RIDGE_BETA, RIDGE_LAM)
+    return g.select("idx", F.round("numeric", 4).alias("numeric"),
+                    F.round("analytic", 4).alias("analytic"))
+
+
+@query("ridge_model_roundtrip")
+def q_ridge_model_roundtrip(spark, d):
+    """Train, save beta as parquet, load it back, report the held-out MSE."""
+    train, test = C.train_test_split(S.price_rows(spark, d).withColumn(
+        "k", F.monotonically_increasing_id()), user="y", item="x")
+    beta, _, _ = R.ridge_train(train, lam=RIDGE_LAM)
+    path = os.path.join(ensure_checkpoint_dir(spark), f"beta-{uuid.uuid4().hex}")
+    IO.save_dense_model(spark, beta, path)
+    back = IO.load_dense_model(spark, path)
+    return R.ridge_mse(test, back).select(r6(F.col("mse")).alias("mse"))
+
+
+# ================================================================== logistic
+def _sparse(spark, d):
+    return S.sparse_rows(spark, d)
+
+
+def _beta_hash(x):
+    f = L.feature_universe(x)
+    return f.select("feature", ((hash_unit(F.col("feature")) - F.lit(0.5)) * F.lit(0.02))
+                    .alias("value"))
+
+
+LOGIT_LAM = 1.0
+
+
+@query("read_sparse")
+def q_read_sparse(spark, d):
+    """Write the sparse rows as JSON lines and read them back in long form."""
+    x, y = _sparse(spark, d)
+    path = os.path.join(ensure_checkpoint_dir(spark), f"sparse-{uuid.uuid4().hex}")
+    IO.write_sparse(x, y, path)
+    bx, by = IO.read_sparse(spark, path)
+    return bx.join(by, "row_id").select("y", "feature", "value")
+
+
+@query("feature_universe")
+def q_feature_universe(spark, d):
+    x, _ = _sparse(spark, d)
+    return L.feature_universe(x)
+
+
+@query("sparse_dot")
+def q_sparse_dot(spark, d):
+    x, y = _sparse(spark, d)
+    return L.sparse_dot(x, _beta_hash(x), y).select("row_id", r6(F.col("z")).alias("z"))
+
+
+@query("sparse_combine")
+def q_sparse_combine(spark, d):
+    """beta - 0.001 * (feature totals over the positive rows)."""
+    x, y = _sparse(spark, d)
+    pos = (x.join(y.where(F.col("y") == 1), "row_id").groupBy("feature")
+           .agg(F.sum("value").alias("value")))
+    c = L.sparse_combine(_beta_hash(x), pos, "sub", 1.0, 0.001)
+    return c.select("feature", r6(F.col("value")).alias("value"))
+
+
+@query("logistic_loss")
+def q_logistic_loss(spark, d):
+    x, y = _sparse(spark, d)
+    return L.logistic_loss(x, y, _beta_hash(x), LOGIT_LAM).select(r6(F.col("loss")).alias("loss"))
+
+
+@query("logistic_gradient")
+def q_logistic_gradient(spark, d):
+    x, y = _sparse(spark, d)
+    g = L.logistic_gradient(x, y, _beta_hash(x), LOGIT_LAM)
+    return g.select("feature", r6(F.col("value")).alias("grad"))
+
+
+@query("logistic_line_search")
+def q_logistic_line_search(spark, d):
+    x, y = _sparse(spark, d)
+    b = _beta_hash(x)
+    t = L.logistic_line_search(x, y, b, L.logistic_gradient(x, y, b, LOGIT_LAM), LOGIT_LAM)
+    return spark.createDataFrame([(round(t, 9),)], "step DOUBLE")
+
+
+@query("logistic_train")
+def q_logistic_train(spark, d):
+    """Train on 3/4 of the labelled documents (lambda 1, <= 100 steps, eps 0.01);
+    report the held-out classification metrics."""
+    x, y = _sparse(spark, d)
+    is_test = hash_unit(F.col("row_id").cast("string")) < F.lit(0.25)
+    ytr, yte = y.where(~is_test), y.where(is_test)
+    xtr = x.join(ytr.select("row_id"), "row_id", "left_semi")
+    xte = x.join(yte.select("row_id"), "row_id", "left_semi")
+    beta, gnorm, k, _ = L.logistic_train(xtr, ytr, lam=LOGIT_LAM, max_iter=100, eps=0.01)
+    m = L.classification_metrics(xte, yte, beta)
+    return m.select("tp", "fp", "tn", "fn", r6(F.col("accuracy")).alias("accuracy"),
+                    F.lit(k).alias("iterations"), F.lit(round(gnorm, 6)).alias("grad_norm"))
+
+
+@query("classification_metrics")
+def q_classification_metrics(spark, d):
+    x, y = _sparse(spark, d)
+    m = L.classification_metrics(x, y, _beta_hash(x))
+    return m.select("tp", "fp", "tn", "fn", r6(F.col("accuracy")).alias("accuracy"),
+                    r6(F.col("precision")).alias("precision"), r6(F.col("recall")).alias("recall"))
+
+
+@query("logistic_gradient_check")
+def q_logistic_gradient_check(spark, d):
+    x, y = _sparse(spark, d)
+    g = L.logistic_gradient_check(x, y, _beta_hash(x), LOGIT_LAM)
+    return g.select("feature", F.round("numeric", 3).alias("numeric"),
+                    F.round("analytic", 3).alias("analytic"))

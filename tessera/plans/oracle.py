@@ -532,3 +532,184 @@ def _():
     return (f"WITH {RATINGS} SELECT \"user\", item, round(rating, 6) AS rating FROM ratings "
             f"WHERE (('0x' || substr(md5(\"user\"::VARCHAR || '|' || item::VARCHAR), 1, 8))::BIGINT "
             f"+ 0.5) / 4294967296.0 < 0.2")
+
+
+# ===================================================================== ridge
+PRICE_ROWS = """
+price_rows AS (
+  SELECT l_quantity / 50.0 AS x0, l_discount * 10.0 AS x1, l_tax * 10.0 AS x2,
+         l_extendedprice / 100000.0 AS y FROM lineitem)"""
+
+RB = (0.5, 0.1, -0.2)
+RLAM = 0.1
+RES = f"(y - (x0 * {RB[0]!r} + x1 * {RB[1]!r} + x2 * ({RB[2]!r})))"
+RIDGE_GRAD = PRICE_ROWS + f""",
+ridge_grad AS (
+  SELECT 0::INTEGER AS idx, avg(-2.0 * {RES} * x0) + {2 * RLAM * RB[0]!r} AS grad FROM price_rows
+  UNION ALL SELECT 1, avg(-2.0 * {RES} * x1) + {2 * RLAM * RB[1]!r} FROM price_rows
+  UNION ALL SELECT 2, avg(-2.0 * {RES} * x2) + ({2 * RLAM * RB[2]!r}) FROM price_rows)"""
+
+
+@sql("read_dense")
+def _():
+    return f"WITH {PRICE_ROWS} SELECT x0, x1, x2, y FROM price_rows"
+
+
+@sql("ridge_objective")
+def _():
+    reg = RLAM * sum(b * b for b in RB)
+    return f"WITH {PRICE_ROWS} SELECT round(avg({RES} * {RES}) + {reg!r}, 6) AS objective FROM price_rows"
+
+
+@sql("ridge_gradient")
+def _():
+    return f"WITH {RIDGE_GRAD} SELECT idx, round(grad, 6) AS grad FROM ridge_grad"
+
+
+@sql("ridge_line_search")
+def _():
+    return f"""WITH {RIDGE_GRAD},
+g AS (SELECT max(CASE WHEN idx = 0 THEN grad END) AS g0, max(CASE WHEN idx = 1 THEN grad END) AS g1,
+             max(CASE WHEN idx = 2 THEN grad END) AS g2 FROM ridge_grad),
+s AS (SELECT count(*) AS n, sum({RES} * {RES}) AS ee,
+             sum({RES} * (x0 * g0 + x1 * g1 + x2 * g2)) AS ew,
+             sum((x0 * g0 + x1 * g1 + x2 * g2) * (x0 * g0 + x1 * g1 + x2 * g2)) AS ww
+      FROM price_rows, g),
+c AS (SELECT k, power(0.6, k) AS t FROM range(0, 200) r(k)),
+f AS (SELECT c.k, c.t,
+        (s.ee + 2 * c.t * s.ew + c.t * c.t * s.ww) / s.n + {RLAM!r} * (
+          power({RB[0]!r} - c.t * g0, 2) + power({RB[1]!r} - c.t * g1, 2) + power(({RB[2]!r}) - c.t * g2, 2)) AS ft,
+        s.ee / s.n + {RLAM!r} * {sum(b * b for b in RB)!r} AS f0,
+        g0 * g0 + g1 * g1 + g2 * g2 AS gg
+      FROM c, s, g)
+SELECT round(min_by(t, k), 6) AS step FROM f WHERE NOT (ft > f0 - 0.2 * t * gg)"""
+
+
+@sql("ridge_predict")
+def _():
+    return (f"WITH {PRICE_ROWS} SELECT y, "
+            f"(x0 * {RB[0]!r} + x1 * {RB[1]!r} + x2 * ({RB[2]!r})) + 0.0 AS yhat FROM price_rows")
+
+
+@sql("ridge_mse")
+def _():
+    return f"WITH {PRICE_ROWS} SELECT round(avg({RES} * {RES}), 6) AS mse FROM price_rows"
+
+
+@sql("ridge_gradient_check")
+def _():
+    delta = 1e-6
+    base = sum(b * b for b in RB)
+    parts = []
+    for i in range(3):
+        reg_i = RLAM * (base - RB[i] ** 2 + (RB[i] + delta) ** 2)
+        parts.append(
+            f"SELECT {i}::INTEGER AS idx, round((avg(power({RES} - {delta!r} * x{i}, 2)) + {reg_i!r} "
+            f"- avg({RES} * {RES}) - {RLAM * base!r}) / {delta!r}, 4) AS numeric FROM price_rows")
+    num = " UNION ALL ".join(parts)
+    return (f"WITH {RIDGE_GRAD}, num AS ({num}) "
+            f"SELECT idx, numeric, round(grad, 4) AS analytic FROM num JOIN ridge_grad USING (idx)")
+
+
+# ================================================================== logistic
+SPARSE = TOKENS + """,
+sx AS (SELECT doc_id AS row_id, term AS feature, count(*)::DOUBLE AS value FROM tokens
+       WHERE doc_id IN (SELECT doc_id FROM labels) GROUP BY doc_id, term),
+sy AS (SELECT doc_id AS row_id, (quality * 2 - 1)::INTEGER AS y FROM labels),
+beta AS (SELECT feature,
+  ((('0x' || substr(md5(feature), 1, 8))::BIGINT + 0.5) / 4294967296.0 - 0.5) * 0.02 AS value
+  FROM (SELECT DISTINCT feature FROM sx)),
+rs AS (SELECT sy.row_id, sy.y, coalesce(z.z, 0) AS z FROM sy LEFT JOIN (
+  SELECT x.row_id, sum(x.value * b.value) AS z FROM sx x JOIN beta b USING (feature)
+  GROUP BY x.row_id) z USING (row_id)),
+bb AS (SELECT sum(value * value) AS bb FROM beta),
+coef AS (SELECT row_id, CASE WHEN y * z >= 0 THEN -y * (exp(-(y * z)) / (1 + exp(-(y * z))))
+                        ELSE -y * (1 / (1 + exp(y * z))) END AS c FROM rs),
+grad AS (SELECT coalesce(g.feature, b.feature) AS feature,
+                coalesce(g.g, 0) + 2.0 * 1.0 * coalesce(b.value, 0) AS value
+         FROM (SELECT x.feature, sum(c.c * x.value) AS g FROM sx x JOIN coef c USING (row_id)
+               GROUP BY x.feature) g FULL OUTER JOIN beta b ON g.feature = b.feature)"""
+
+
+def loss_sql(m):
+    return f"(greatest(-({m}), 0) + ln(1 + exp(-abs({m}))))"
+
+
+@sql("read_sparse")
+def _():
+    return f"WITH {SPARSE} SELECT sy.y, sx.feature, sx.value FROM sx JOIN sy USING (row_id)"
+
+
+@sql("feature_universe")
+def _():
+    return f"WITH {SPARSE} SELECT DISTINCT feature FROM sx"
+
+
+@sql("sparse_dot")
+def _():
+    return f"WITH {SPARSE} SELECT row_id, round(z, 6) AS z FROM rs"
+
+
+@sql("sparse_combine")
+def _():
+    return f"""WITH {SPARSE},
+pos AS (SELECT x.feature, sum(x.value) AS value FROM sx x JOIN sy USING (row_id)
+        WHERE sy.y = 1 GROUP BY x.feature)
+SELECT coalesce(b.feature, p.feature) AS feature,
+       round(1.0 * coalesce(b.value, 0) + (-0.001) * coalesce(p.value, 0), 6) + 0.0 AS value
+FROM beta b FULL OUTER JOIN pos p ON b.feature = p.feature"""
+
+
+@sql("logistic_loss")
+def _():
+    return (f"WITH {SPARSE} SELECT round(coalesce(sum({loss_sql('y * z')}), 0) + "
+            f"1.0 * (SELECT bb FROM bb), 6) AS loss FROM rs")
+
+
+@sql("logistic_gradient")
+def _():
+    return f"WITH {SPARSE} SELECT feature, round(value, 6) AS grad FROM grad"
+
+
+@sql("logistic_line_search")
+def _():
+    return f"""WITH {SPARSE},
+w AS (SELECT x.row_id, sum(x.value * g.value) AS w FROM sx x JOIN grad g USING (feature)
+      GROUP BY x.row_id),
+rsw AS (SELECT rs.row_id, rs.y, rs.z, coalesce(w.w, 0) AS w FROM rs LEFT JOIN w USING (row_id)),
+sc AS (SELECT sum(coalesce(b.value, 0) * coalesce(b.value, 0)) AS bb,
+              sum(coalesce(b.value, 0) * coalesce(g.value, 0)) AS bg,
+              sum(coalesce(g.value, 0) * coalesce(g.value, 0)) AS gg
+       FROM beta b FULL OUTER JOIN grad g ON b.feature = g.feature),
+fx AS (SELECT sum({loss_sql('y * z')}) + (SELECT bb FROM bb) * 1.0 AS fx FROM rs),
+c AS (SELECT k, power(0.6, k) AS t FROM range(0, 300) r(k)),
+lt AS (SELECT c.k, c.t, coalesce(sum({loss_sql('rsw.y * (rsw.z - c.t * rsw.w)')}), 0) AS l
+       FROM c, rsw GROUP BY c.k, c.t)
+SELECT round(min_by(lt.t, lt.k), 9) AS step FROM lt, sc, fx
+WHERE NOT (lt.l + 1.0 * (sc.bb - 2 * lt.t * sc.bg + lt.t * lt.t * sc.gg) > fx.fx - 0.2 * lt.t * sc.gg)"""
+
+
+@sql("classification_metrics")
+def _():
+    return f"""WITH {SPARSE},
+m AS (SELECT sum(CASE WHEN z > 0 AND y = 1 THEN 1 ELSE 0 END)::BIGINT AS tp,
+             sum(CASE WHEN z > 0 AND y = -1 THEN 1 ELSE 0 END)::BIGINT AS fp,
+             sum(CASE WHEN z <= 0 AND y = -1 THEN 1 ELSE 0 END)::BIGINT AS tn,
+             sum(CASE WHEN z <= 0 AND y = 1 THEN 1 ELSE 0 END)::BIGINT AS fn FROM rs)
+SELECT tp, fp, tn, fn,
+  round(CASE WHEN tp + fp + tn + fn = 0 THEN NULL ELSE (tp + tn)::DOUBLE / (tp + fp + tn + fn) END, 6) AS accuracy,
+  round(CASE WHEN tp + fp = 0 THEN NULL ELSE tp::DOUBLE / (tp + fp) END, 6) AS precision,
+  round(CASE WHEN tp + fn = 0 THEN NULL ELSE tp::DOUBLE / (tp + fn) END, 6) AS recall
+FROM m"""
+
+
+@sql("logistic_gradient_check")
+def _():
+    delta = 1e-6
+    return f"""WITH {SPARSE},
+dl AS (SELECT x.feature, sum({loss_sql(f'rs.y * (rs.z + {delta!r} * x.value)')} - {loss_sql('rs.y * rs.z')}) AS dl
+       FROM sx x JOIN rs USING (row_id) GROUP BY x.feature),
+num AS (SELECT dl.feature, (dl.dl + 1.0 * ({2 * delta!r} * coalesce(b.value, 0) + {delta * delta!r})) / {delta!r} AS numeric
+        FROM dl LEFT JOIN beta b USING (feature))
+SELECT num.feature, round(numeric, 3) + 0.0 AS numeric, round(g.value, 3) + 0.0 AS analytic
+FROM num JOIN grad g USING (feature)"""
