@@ -522,3 +522,86 @@ def q_logistic_gradient_check(spark, d):
     g = L.logistic_gradient_check(x, y, _beta_hash(x), LOGIT_LAM)
     return g.select("feature", F.round("numeric", 3).alias("numeric"),
                     F.round("analytic", 3).alias("analytic"))
+
+
+# ============================================================ factorization
+from tessera.operators import factorization as M  # noqa: E402
+
+MF_D, MF_SEED = 10, 1234567
+
+
+def _mf_ratings(spark, d):
+    """Ratings scaled into unit range (divided by 50) for factorization."""
+    return S.ratings(spark, d).select("user", "item", (F.col("rating") / 50.0).alias("rating"))
+
+
+def _long(P, kind):
+    return M.profiles_long(P, kind).select("kind", "id", "k", r9(F.col("value")).alias("value"))
+
+
+@query("mf_read_ratings")
+def q_mf_read_ratings(spark, d):
+    path = os.path.join(ensure_checkpoint_dir(spark), f"mf-{uuid.uuid4().hex}")
+    IO.write_interactions(_mf_ratings(spark, d), path)
+    back = IO.read_ratings(spark, path)
+    return back.select("user", "item", r9(F.col("rating")).alias("rating"))
+
+
+@query("mf_init_profiles")
+def q_mf_init_profiles(spark, d):
+    r = _mf_ratings(spark, d)
+    return (_long(M.init_user_profiles(r, MF_D, MF_SEED), "U")
+            .unionByName(_long(M.init_item_profiles(r, MF_D, MF_SEED), "V")))
+
+
+@query("mf_predict")
+def q_mf_predict(spark, d):
+    r = _mf_ratings(spark, d)
+    U, V = M.init_user_profiles(r, MF_D, MF_SEED), M.init_item_profiles(r, MF_D, MF_SEED)
+    return M.predict_ratings(r, U, V).select("user", "item", r9(F.col("delta")).alias("delta"))
+
+
+@query("mf_objective")
+def q_mf_objective(spark, d):
+    r = _mf_ratings(spark, d)
+    U, V = M.init_user_profiles(r, MF_D, MF_SEED), M.init_item_profiles(r, MF_D, MF_SEED)
+    j = M.predict_ratings(r, U, V)
+    se, nu, nv = M.squared_error(j), M.profile_norm(U, 1.0), M.profile_norm(V, 1.0)
+    return spark.range(1).select(r6(se).alias("se"), r6(nu).alias("norm_u"), r6(nv).alias("norm_v"),
+                                 r6(se + nu + nv).alias("objective"))
+
+
+@query("mf_adapt")
+def q_mf_adapt(spark, d):
+    """One update of U and V from the initial profiles (gain 0.001, lam = mu = 1)."""
+    r = _mf_ratings(spark, d)
+    U, V = M.init_user_profiles(r, MF_D, MF_SEED), M.init_item_profiles(r, MF_D, MF_SEED)
+    j = M.predict_ratings(r, U, V)
+    return (_long(M.adapt_users(j, U, 0.001, 1.0, MF_D), "U")
+            .unionByName(_long(M.adapt_items(j, V, 0.001, 1.0, MF_D), "V")))
+
+
+@query("mf_train")
+def q_mf_train(spark, d):
+    """20 rounds on the whole ratings table (test = train): objective and RMSE per round."""
+    _, _, hist = M.mf_train(_mf_ratings(spark, d), d=MF_D, maxiter=20, seed=MF_SEED)
+    return spark.createDataFrame([(i, round(o, 6), round(e, 6)) for i, o, e in hist],
+                                 "iteration INT, objective DOUBLE, test_rmse DOUBLE")
+
+
+@query("mf_cross_validate")
+def q_mf_cross_validate(spark, d):
+    """5 folds by md5(user|item), 4 rounds each: held-out RMSE per fold."""
+    cv = M.mf_cross_validate(_mf_ratings(spark, d), folds=5, d=MF_D, maxiter=4, seed=MF_SEED)
+    return cv.select("fold", r6(F.col("test_rmse")).alias("test_rmse"))
+
+
+@query("mf_save_profiles")
+def q_mf_save_profiles(spark, d):
+    """Train 3 rounds on all ratings, save U and V as parquet, read them back."""
+    U, V, _ = M.mf_train(_mf_ratings(spark, d), d=MF_D, maxiter=3, seed=MF_SEED)
+    base = os.path.join(ensure_checkpoint_dir(spark), f"profiles-{uuid.uuid4().hex}")
+    IO.save_profiles(U, base + "_U")
+    IO.save_profiles(V, base + "_V")
+    U2, V2 = IO.load_profiles(spark, base + "_U"), IO.load_profiles(spark, base + "_V")
+    return _long(U2, "U").unionByName(_long(V2, "V"))

@@ -7,6 +7,8 @@ round.  Floats are rounded exactly as on the Spark side.
 
 from __future__ import annotations
 
+import math
+
 from tessera.functions.expr import WHITESPACE_RE2
 
 ORACLE = {}
@@ -713,3 +715,134 @@ num AS (SELECT dl.feature, (dl.dl + 1.0 * ({2 * delta!r} * coalesce(b.value, 0)
         FROM dl LEFT JOIN beta b USING (feature))
 SELECT num.feature, round(numeric, 3) + 0.0 AS numeric, round(g.value, 3) + 0.0 AS analytic
 FROM num JOIN grad g USING (feature)"""
+
+
+# ============================================================ factorization
+MF_RATINGS = RATINGS + """,
+mf_r AS (SELECT "user", item, rating / 50.0 AS rating FROM ratings)"""
+
+
+def _u(key):
+    return f"((('0x' || substr(md5({key}), 1, 8))::BIGINT + 0.5) / 4294967296.0)"
+
+
+def normal_sql(key):
+    return (f"(sqrt(-2.0 * ln({_u(key + ' || ' + repr('#a'))})) * "
+            f"cos({2 * math.pi!r} * {_u(key + ' || ' + repr('#b'))}))")
+
+
+def init_sql(name, src, col, d=10, seed=1234567):
+    elems = ", ".join(normal_sql(f"'{seed}|' || id::VARCHAR || '|{k}'") for k in range(d))
+    return f"{name} AS MATERIALIZED (SELECT id, [{elems}] AS vec FROM (SELECT DISTINCT {col} AS id FROM {src}))"
+
+
+def _dot(a, b, d):
+    return "(0.0 + " + " + ".join(f"{a}[{k + 1}] * {b}[{k + 1}]" for k in range(d)) + ")"
+
+
+def joined_sql(name, r, U, V, d):
+    return (f"{name} AS MATERIALIZED (SELECT r.\"user\", r.item, {_dot('u.vec', 'v.vec', d)} - r.rating "
+            f"AS delta, u.vec AS u, v.vec AS v FROM {r} r JOIN {U} u ON r.\"user\" = u.id "
+            f"JOIN {V} v ON r.item = v.id)")
+
+
+def adapt_sql(name, J, P, key, other, gamma, reg, d):
+    sums = ", ".join(f"sum(2.0 * delta * {other}[{k + 1}]) AS g{k}" for k in range(d))
+    new = ", ".join(f"p.vec[{k + 1}] - {gamma!r} * (g.g{k} + {2.0 * reg!r} * p.vec[{k + 1}])"
+                    for k in range(d))
+    return (f"{name} AS MATERIALIZED (SELECT p.id, [{new}] AS vec FROM {P} p JOIN "
+            f"(SELECT {key} AS id, {sums} FROM {J} GROUP BY {key}) g USING (id))")
+
+
+def sq_sql(P, d):
+    return f"(SELECT coalesce(sum({_dot('vec', 'vec', d)}), 0) FROM {P})"
+
+
+def mf_sql(train, test, rounds, d=10, gain=0.001, power=0.2, lam=1.0, mu=1.0, seed=1234567, p="m"):
+    """CTEs of ``rounds`` GD rounds; history in {p}_hist, profiles {p}_U{rounds}, {p}_V{rounds}."""
+    ctes = [init_sql(f"{p}_U0", train, '"user"', d, seed), init_sql(f"{p}_V0", train, "item", d, seed),
+            f"{p}_mt AS (SELECT count(*)::DOUBLE AS n FROM {test})"]
+    hist = []
+    for i in range(1, rounds + 1):
+        gamma = gain / i ** power
+        ctes.append(joined_sql(f"{p}_J{i}", train, f"{p}_U{i-1}", f"{p}_V{i-1}", d))
+        ctes.append(joined_sql(f"{p}_T{i}", test, f"{p}_U{i-1}", f"{p}_V{i-1}", d))
+        ctes.append(adapt_sql(f"{p}_U{i}", f"{p}_J{i}", f"{p}_U{i-1}", '"user"', "v", gamma, lam, d))
+        ctes.append(adapt_sql(f"{p}_V{i}", f"{p}_J{i}", f"{p}_V{i-1}", "item", "u", gamma, mu, d))
+        hist.append(
+            f"SELECT {i}::INTEGER AS iteration, "
+            f"(SELECT coalesce(sum(delta * delta), 0) FROM {p}_J{i}) + {lam!r} * {sq_sql(f'{p}_U{i-1}', d)} "
+            f"+ {mu!r} * {sq_sql(f'{p}_V{i-1}', d)} AS objective, "
+            f"sqrt((SELECT coalesce(sum(delta * delta), 0) FROM {p}_T{i}) / (SELECT n FROM {p}_mt)) AS test_rmse")
+    ctes.append(f"{p}_hist AS ({' UNION ALL '.join(hist)})")
+    return ",\n".join(ctes)
+
+
+def long_sql(P, kind):
+    return (f"SELECT '{kind}' AS kind, id, (k - 1)::INTEGER AS k, round(vec[k], 9) AS value "
+            f"FROM {P}, range(1, len(vec) + 1) t(k)")
+
+
+@sql("mf_read_ratings")
+def _():
+    return f'WITH {MF_RATINGS} SELECT "user", item, round(rating, 9) AS rating FROM mf_r'
+
+
+@sql("mf_init_profiles")
+def _():
+    return (f"WITH {MF_RATINGS}, {init_sql('U0', 'mf_r', chr(34) + 'user' + chr(34))}, "
+            f"{init_sql('V0', 'mf_r', 'item')} {long_sql('U0', 'U')} UNION ALL {long_sql('V0', 'V')}")
+
+
+@sql("mf_predict")
+def _():
+    return (f"WITH {MF_RATINGS}, {init_sql('U0', 'mf_r', chr(34) + 'user' + chr(34))}, "
+            f"{init_sql('V0', 'mf_r', 'item')}, {joined_sql('J', 'mf_r', 'U0', 'V0', 10)} "
+            f"SELECT \"user\", item, round(delta, 9) AS delta FROM J")
+
+
+@sql("mf_objective")
+def _():
+    return (f"WITH {MF_RATINGS}, {init_sql('U0', 'mf_r', chr(34) + 'user' + chr(34))}, "
+            f"{init_sql('V0', 'mf_r', 'item')}, {joined_sql('J', 'mf_r', 'U0', 'V0', 10)}, "
+            f"s AS (SELECT (SELECT coalesce(sum(delta * delta), 0) FROM J) AS se, "
+            f"1.0 * {sq_sql('U0', 10)} AS nu, 1.0 * {sq_sql('V0', 10)} AS nv) "
+            f"SELECT round(se, 6) AS se, round(nu, 6) AS norm_u, round(nv, 6) AS norm_v, "
+            f"round(se + nu + nv, 6) AS objective FROM s")
+
+
+@sql("mf_adapt")
+def _():
+    return (f"WITH {MF_RATINGS}, {init_sql('U0', 'mf_r', chr(34) + 'user' + chr(34))}, "
+            f"{init_sql('V0', 'mf_r', 'item')}, {joined_sql('J', 'mf_r', 'U0', 'V0', 10)}, "
+            f"{adapt_sql('U1', 'J', 'U0', chr(34) + 'user' + chr(34), 'v', 0.001, 1.0, 10)}, "
+            f"{adapt_sql('V1', 'J', 'V0', 'item', 'u', 0.001, 1.0, 10)} "
+            f"{long_sql('U1', 'U')} UNION ALL {long_sql('V1', 'V')}")
+
+
+@sql("mf_train")
+def _():
+    return (f"WITH {MF_RATINGS}, {mf_sql('mf_r', 'mf_r', 20)} "
+            f"SELECT iteration, round(objective, 6) AS objective, round(test_rmse, 6) AS test_rmse "
+            f"FROM m_hist")
+
+
+@sql("mf_cross_validate")
+def _():
+    parts = [MF_RATINGS, """mf_f AS (SELECT "user", item, rating,
+      ('0x' || substr(md5("user"::VARCHAR || '|' || item::VARCHAR), 1, 8))::BIGINT % 5 AS fold
+      FROM mf_r)"""]
+    sel = []
+    for f in range(5):
+        parts.append(f"tr{f} AS (SELECT \"user\", item, rating FROM mf_f WHERE fold <> {f})")
+        parts.append(f"te{f} AS (SELECT \"user\", item, rating FROM mf_f WHERE fold = {f})")
+        parts.append(mf_sql(f"tr{f}", f"te{f}", 4, p=f"f{f}"))
+        sel.append(f"SELECT {f}::INTEGER AS fold, round(test_rmse, 6) AS test_rmse FROM f{f}_hist "
+                   f"WHERE iteration = 4")
+    return "WITH " + ",\n".join(parts) + "\n" + " UNION ALL ".join(sel)
+
+
+@sql("mf_save_profiles")
+def _():
+    return (f"WITH {MF_RATINGS}, {mf_sql('mf_r', 'mf_r', 3)} "
+            f"{long_sql('m_U3', 'U')} UNION ALL {long_sql('m_V3', 'V')}")
