@@ -43,6 +43,30 @@ def inverse_document_frequency(docs: DataFrame, tokens: DataFrame, doc: str = "d
     return dfreq.select(term, F.log(n_docs / F.col("df")).alias("idf"))
 
 
+def term_stats(docs: DataFrame, tokens: DataFrame, by: tuple[str, ...] = (),
+               doc: str = "doc_id", term: str = "term") -> DataFrame:
+    """T2 + T3 fused: (by..., term, tf, df, idf) from a single tokenization.
+
+    Tokens are first counted per (doc, term) -- partial aggregation shrinks
+    them on the map side -- and that one table yields both the raw count
+    (sum) and the document frequency (row count) per term, so the corpus is
+    tokenized once and shuffled twice (instead of tokenized once per statistic).
+    ``by`` groups the statistics (e.g. per language); idf always uses N = all
+    documents of ``docs``.
+    """
+    n_docs = docs.select(F.count(F.lit(1))).scalar()
+    per_doc = tokens.groupBy(doc, *by, term).agg(F.count(F.lit(1)).alias("_c"))
+    return (per_doc.groupBy(*by, term)
+            .agg(F.sum("_c").alias("tf"), F.count(F.lit(1)).alias("df"))
+            .withColumn("idf", F.log(n_docs / F.col("df"))))
+
+
+def corpus_tfidf(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
+    """T4 over a whole corpus: (term, tf, idf, tfidf) with one tokenization."""
+    st = term_stats(docs, tokenize(docs, text, keep=(doc,)), doc=doc)
+    return st.select("term", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))
+
+
 def tfidf(tf: DataFrame, idf: DataFrame, term: str = "term", strict: bool = False) -> DataFrame:
     """T4: tf * idf per term (any grouping columns of ``tf`` are kept).
 
@@ -85,6 +109,35 @@ def cosine_similarity(a: DataFrame, b: DataFrame, by: tuple[str, ...] = (),
                                            F.sqrt(F.col("na") * nb)).alias("cosine"))
 
 
+def group_cosine_to_corpus(docs: DataFrame, group: str = "lang", text: str = "text",
+                           doc: str = "doc_id") -> DataFrame:
+    """T6 for every group of documents at once: cosine between the group's
+    TF-IDF profile and the whole corpus's TF-IDF profile -> (group, cosine).
+
+    One tokenization and one pipeline: counts per (group, term) carry df
+    per group; a window over each term's rows (one row per group holding the
+    term, so bounded by the number of groups) adds the corpus tf and df; one
+    aggregation per group gives the dot product and the group norm, and the
+    corpus norm is summed over the first row of each term in the same pass.
+    """
+    from pyspark.sql import Window
+    n_docs = docs.select(F.count(F.lit(1))).scalar()
+    toks = tokenize(docs, text, keep=(doc, group))
+    per_doc = toks.groupBy(doc, group, "term").agg(F.count(F.lit(1)).alias("_c"))
+    per_group = per_doc.groupBy(group, "term").agg(F.sum("_c").alias("tf_g"),
+                                                   F.count(F.lit(1)).alias("df_g"))
+    w = Window.partitionBy("term")
+    idf = F.log(n_docs / F.sum("df_g").over(w))
+    scored = per_group.select(
+        group, (F.col("tf_g") * idf).alias("a"), (F.sum("tf_g").over(w) * idf).alias("b"),
+        (F.row_number().over(w.orderBy(group)) == 1).alias("first"))
+    agg = scored.groupBy(group).agg(
+        F.sum(F.col("a") * F.col("b")).alias("dot"), F.sum(F.col("a") * F.col("a")).alias("na"),
+        F.sum(F.when(F.col("first"), F.col("b") * F.col("b")).otherwise(0.0)).alias("_nb"))
+    nb = F.sum("_nb").over(Window.partitionBy())   # one row per group: bounded
+    return agg.select(group, F.try_divide(F.col("dot"), F.sqrt(F.col("na") * nb)).alias("cosine"))
+
+
 SCORE_SCHEMA = "term STRING, val DOUBLE"
 
 

@@ -37,11 +37,7 @@ def _tokens(spark, d):
 
 
 def _corpus_tfidf(spark, d):
-    docs = S.documents(spark, d)
-    toks = T.tokenize(docs)
-    tf = T.term_frequency(toks)
-    idf = T.inverse_document_frequency(docs, toks)
-    return T.tfidf(tf, idf)
+    return T.corpus_tfidf(S.documents(spark, d))
 
 
 @query("text_tokens")
@@ -85,13 +81,7 @@ def q_top_terms_tfidf(spark, d):
 @query("cosine_similarity")
 def q_cosine(spark, d):
     """Cosine between each language's TF-IDF profile and the whole corpus's."""
-    docs = S.documents(spark, d)
-    toks = T.tokenize(docs, keep=("doc_id", "lang"))
-    idf = T.inverse_document_frequency(docs, toks)
-    per_lang = (T.tfidf(T.term_frequency(toks, by=("lang",)), idf)
-                .select("lang", "term", F.col("tfidf").alias("val")))
-    corpus = T.tfidf(T.term_frequency(toks), idf).select("term", F.col("tfidf").alias("val"))
-    sim = T.cosine_similarity(per_lang, corpus, by=("lang",))
+    sim = T.group_cosine_to_corpus(S.documents(spark, d), "lang")
     return sim.select("lang", r6(F.col("cosine")).alias("cosine"))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.expr import hash_bucket, letters_only, split_words
+from tessera.plans.parallel import spread
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -22,7 +23,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # ---------------------------------------------------------------- text
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    """Documents, spread over the cluster when the scan has too few tasks
+    (tokenizing is CPU-bound; a single large row group would serialise it)."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
 # ---------------------------------------------------------------- ratings
@@ -82,7 +85,7 @@ HREF_PATTERN = r'href="([^"]*)"'
 
 def link_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """page url -> each href target found in its html (duplicates kept)."""
-    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    pages = spread(table(spark, sf_dir, "pages").select("page_id", "html"))
     return (pages.select(F.col("page_id").cast("string").alias("src"),
                          F.explode(F.regexp_extract_all("html", F.lit(HREF_PATTERN), 1))
                          .alias("dst")))
