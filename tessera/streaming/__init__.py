@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference contains no streaming, windowing, watermark or stateful operator,
+so this package provides none.  Every tessera operator is a function of
+DataFrames and can be applied to each micro-batch of a Structured Streaming
+query through ``foreachBatch`` by a caller that needs it.
+"""
