@@ -846,3 +846,146 @@ def _():
 def _():
     return (f"WITH {MF_RATINGS}, {mf_sql('mf_r', 'mf_r', 3)} "
             f"{long_sql('m_U3', 'U')} UNION ALL {long_sql('m_V3', 'V')}")
+
+
+# ------------------------------------------------- ridge training (Gram form)
+def _rdot(a, b):
+    return "(0.0 + " + " + ".join(f"({x}) * ({y})" for x, y in zip(a, b)) + ")"
+
+
+def _robj(b, lam, d=3):
+    """F(b) from the statistics row, in the same operation order as the driver code."""
+    xty = [f"xy{i}" for i in range(d)]
+    mv = ["(0.0 + " + " + ".join(f"xx{min(i, j)}{max(i, j)} * ({b[j]})" for j in range(d)) + ")"
+          for i in range(d)]
+    q = f"(yy - 2.0 * {_rdot(b, xty)} + {_rdot(b, mv)})"
+    return f"({q} / n + {lam!r} * {_rdot(b, b)})"
+
+
+def _rgrad(b, lam, d=3):
+    mv = ["(0.0 + " + " + ".join(f"xx{min(i, j)}{max(i, j)} * ({b[j]})" for j in range(d)) + ")"
+          for i in range(d)]
+    return [f"(2.0 * ({mv[i]} - xy{i}) / n + {2.0 * lam!r} * ({b[i]}))" for i in range(d)]
+
+
+def ridge_train_sql(lam=0.1, max_iter=100, eps=0.01, d=3, src=None, tail=None):
+    stats = ", ".join(["count(*)::DOUBLE AS n", "sum(y * y) AS yy"]
+                      + [f"sum(x{i} * y) AS xy{i}" for i in range(d)]
+                      + [f"sum(x{i} * x{j}) AS xx{i}{j}" for i in range(d) for j in range(i, d)])
+    ctes = [PRICE_ROWS.strip() if src is None else src,
+            f"st AS (SELECT {stats} FROM {'price_rows' if src is None else 'train_rows'})"]
+    b0 = ["0.0"] * d
+    g0 = _rgrad(b0, lam, d)
+    cols = ", ".join([f"0.0 AS b{i}" for i in range(d)] + [f"{g0[i]} AS g{i}" for i in range(d)])
+    ctes.append(f"s0 AS MATERIALIZED (SELECT {cols} FROM st)")
+    b = [f"b{i}" for i in range(d)]
+    g = [f"g{i}" for i in range(d)]
+    for it in range(1, max_iter + 1):
+        bt = [f"b{i} - t * g{i}" for i in range(d)]
+        gg = _rdot(g, g)
+        ctes.append(
+            f"ls{it} AS (SELECT min(k) AS k FROM (SELECT *, power(0.6, q.k) AS t "
+            f"FROM s{it - 1}, st, range(0, 400) q(k)) "
+            f"WHERE NOT ({_robj(bt, lam, d)} > {_robj(b, lam, d)} - 0.2 * t * {gg}))")
+        nb = [f"(p.b{i} - power(0.6, l.k) * p.g{i})" for i in range(d)]
+        ng = _rgrad([f"nb{i}" for i in range(d)], lam, d)
+        ctes.append(
+            f"s{it} AS MATERIALIZED (SELECT {', '.join(f'nb{i} AS b{i}' for i in range(d))}, "
+            f"{', '.join(f'{ng[i]} AS g{i}' for i in range(d))} FROM "
+            f"(SELECT {', '.join(f'{nb[i]} AS nb{i}' for i in range(d))} FROM s{it - 1} p, ls{it} l), st)")
+    allr = " UNION ALL ".join(
+        f"SELECT {it} AS it, {', '.join(b)}, sqrt({_rdot(g, g)}) AS gn FROM s{it}"
+        for it in range(0, max_iter + 1))
+    ctes.append(f"path AS MATERIALIZED ({allr})")
+    ctes.append(f"stop AS (SELECT coalesce(min(it), {max_iter}) AS it FROM path WHERE gn <= {eps!r})")
+    ctes.append("fin AS (SELECT * FROM path WHERE it = (SELECT it FROM stop))")
+    out = " UNION ALL ".join(
+        f"SELECT {i}::INTEGER AS idx, round(b{i}, 6) AS beta, round(gn, 6) AS grad_norm, "
+        f"it::INTEGER AS iterations FROM fin" for i in range(d))
+    return "WITH " + ",\n".join(ctes) + "\n" + (out if tail is None else tail)
+
+
+@sql("ridge_train")
+def _():
+    return ridge_train_sql()
+
+
+# --------------------------------------------- logistic training (unrolled)
+def logistic_train_sql(lam=1.0, max_iter=10, eps=0.01):
+    hu = "((('0x' || substr(md5(row_id::VARCHAR), 1, 8))::BIGINT + 0.5) / 4294967296.0)"
+    ctes = [TOKENS.strip(), """sx AS (SELECT doc_id AS row_id, term AS feature, count(*)::DOUBLE AS value
+  FROM tokens WHERE doc_id IN (SELECT doc_id FROM labels) GROUP BY doc_id, term)""",
+            "sy AS (SELECT doc_id AS row_id, (quality * 2 - 1)::INTEGER AS y FROM labels)",
+            f"ytr AS (SELECT * FROM sy WHERE NOT ({hu} < 0.25))",
+            f"yte AS (SELECT * FROM sy WHERE {hu} < 0.25)",
+            "xtr AS MATERIALIZED (SELECT * FROM sx WHERE row_id IN (SELECT row_id FROM ytr))",
+            "xte AS (SELECT * FROM sx WHERE row_id IN (SELECT row_id FROM yte))",
+            "b0 AS (SELECT NULL::VARCHAR AS feature, 0.0::DOUBLE AS value WHERE false)"]
+    coef = ("CASE WHEN y * z >= 0 THEN -y * (exp(-(y * z)) / (1 + exp(-(y * z)))) "
+            "ELSE -y * (1 / (1 + exp(y * z))) END")
+    for i in range(1, max_iter + 1):
+        p = f"b{i - 1}"
+        ctes += [
+            f"z{i} AS MATERIALIZED (SELECT y.row_id, y.y, coalesce(z.z, 0) AS z FROM ytr y LEFT JOIN "
+            f"(SELECT x.row_id, sum(x.value * b.value) AS z FROM xtr x JOIN {p} b USING (feature) "
+            f"GROUP BY x.row_id) z USING (row_id))",
+            f"g{i} AS MATERIALIZED (SELECT coalesce(g.feature, b.feature) AS feature, "
+            f"coalesce(g.g, 0) + {2.0 * lam!r} * coalesce(b.value, 0) AS value FROM "
+            f"(SELECT x.feature, sum(c.c * x.value) AS g FROM xtr x JOIN "
+            f"(SELECT row_id, {coef} AS c FROM z{i}) c USING (row_id) GROUP BY x.feature) g "
+            f"FULL OUTER JOIN {p} b ON g.feature = b.feature)",
+            f"sc{i} AS MATERIALIZED (SELECT coalesce(sum(coalesce(b.value, 0) * coalesce(b.value, 0)), 0) AS bb, "
+            f"coalesce(sum(coalesce(b.value, 0) * coalesce(g.value, 0)), 0) AS bg, "
+            f"coalesce(sum(coalesce(g.value, 0) * coalesce(g.value, 0)), 0) AS gg "
+            f"FROM {p} b FULL OUTER JOIN g{i} g ON b.feature = g.feature)",
+            f"w{i} AS MATERIALIZED (SELECT z.row_id, z.y, z.z, coalesce(w.w, 0) AS w FROM z{i} z LEFT JOIN "
+            f"(SELECT x.row_id, sum(x.value * g.value) AS w FROM xtr x JOIN g{i} g USING (feature) "
+            f"GROUP BY x.row_id) w USING (row_id))",
+            f"fx{i} AS (SELECT coalesce(sum({loss_sql('y * z')}), 0) + {lam!r} * (SELECT bb FROM sc{i}) "
+            f"AS fx FROM w{i})",
+            f"lt{i} AS (SELECT q.k, power(0.6, q.k) AS t, coalesce(sum("
+            f"{loss_sql('w.y * (w.z - power(0.6, q.k) * w.w)')}), 0) AS l "
+            f"FROM range(0, 300) q(k), w{i} w GROUP BY q.k)",
+            f"t{i} AS (SELECT power(0.6, min(lt.k)) AS t FROM lt{i} lt, sc{i} sc, fx{i} f WHERE NOT ("
+            f"lt.l + {lam!r} * (sc.bb - 2 * lt.t * sc.bg + lt.t * lt.t * sc.gg) > f.fx - 0.2 * lt.t * sc.gg))",
+            f"b{i} AS MATERIALIZED (SELECT coalesce(b.feature, g.feature) AS feature, "
+            f"1.0 * coalesce(b.value, 0) + (-(SELECT t FROM t{i})) * coalesce(g.value, 0) AS value "
+            f"FROM {p} b FULL OUTER JOIN g{i} g ON b.feature = g.feature)",
+        ]
+    gns = " UNION ALL ".join(f"SELECT {i} AS it, sqrt(gg) AS gn FROM sc{i}" for i in range(1, max_iter + 1))
+    ctes.append(f"gns AS MATERIALIZED ({gns})")
+    ctes.append(f"stop AS (SELECT coalesce(min(it), {max_iter}) AS it FROM gns WHERE gn <= {eps!r})")
+    bs = " UNION ALL ".join(f"SELECT {i} AS it, feature, value FROM b{i}" for i in range(1, max_iter + 1))
+    ctes.append(f"fin AS (SELECT feature, value FROM ({bs}) WHERE it = (SELECT it FROM stop))")
+    ctes.append("zt AS (SELECT y.row_id, y.y, coalesce(z.z, 0) AS z FROM yte y LEFT JOIN "
+                "(SELECT x.row_id, sum(x.value * b.value) AS z FROM xte x JOIN fin b USING (feature) "
+                "GROUP BY x.row_id) z USING (row_id))")
+    ctes.append("""m AS (SELECT sum(CASE WHEN z > 0 AND y = 1 THEN 1 ELSE 0 END)::BIGINT AS tp,
+             sum(CASE WHEN z > 0 AND y = -1 THEN 1 ELSE 0 END)::BIGINT AS fp,
+             sum(CASE WHEN z <= 0 AND y = -1 THEN 1 ELSE 0 END)::BIGINT AS tn,
+             sum(CASE WHEN z <= 0 AND y = 1 THEN 1 ELSE 0 END)::BIGINT AS fn FROM zt)""")
+    return ("WITH " + ",\n".join(ctes) + """
+SELECT tp, fp, tn, fn,
+  round(CASE WHEN tp + fp + tn + fn = 0 THEN NULL ELSE (tp + tn)::DOUBLE / (tp + fp + tn + fn) END, 6) AS accuracy,
+  (SELECT it FROM stop)::INTEGER AS iterations,
+  round((SELECT gn FROM gns WHERE it = (SELECT it FROM stop)), 6) AS grad_norm
+FROM m""")
+
+
+@sql("logistic_train")
+def _():
+    return logistic_train_sql()
+
+
+@sql("ridge_model_roundtrip")
+def _():
+    src = """keyed AS (
+  SELECT l_quantity / 50.0 AS x0, l_discount * 10.0 AS x1, l_tax * 10.0 AS x2,
+         l_extendedprice / 100000.0 AS y,
+         ('0x' || substr(md5(l_orderkey::VARCHAR || '|' || l_linenumber::VARCHAR), 1, 8))::BIGINT % 4
+           AS fold
+  FROM lineitem),
+train_rows AS (SELECT x0, x1, x2, y FROM keyed WHERE fold <> 0)"""
+    tail = ("SELECT round(avg(power(y - (0.0 + x0 * b0 + x1 * b1 + x2 * b2), 2)) + 0.0, 6) AS mse "
+            "FROM keyed, fin WHERE fold = 0")
+    return ridge_train_sql(src=src, tail=tail)

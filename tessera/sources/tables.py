@@ -132,6 +132,16 @@ def price_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_extendedprice") / 100000.0).alias("y"))
 
 
+def price_rows_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``price_rows`` with the line keys (l_orderkey, l_linenumber) kept."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        "l_orderkey", "l_linenumber",
+        F.array((F.col("l_quantity") / 50.0), (F.col("l_discount") * 10.0),
+                (F.col("l_tax") * 10.0)).alias("x"),
+        (F.col("l_extendedprice") / 100000.0).alias("y"))
+
+
 def sparse_rows(spark: SparkSession, sf_dir: str):
     """Sparse labelled rows from the labelled documents.
 
