@@ -152,14 +152,13 @@ def user_cf_recommend(train: DataFrame, sim: DataFrame, k: int = N_SIM, n: int =
 
 # ---------------------------------------------------------------- C8
 def item_user_index(train: DataFrame, user: str = "user", item: str = "item") -> DataFrame:
-    """Inverted table item -> users, as rows clustered by item.
+    """Inverted table item -> users, as distinct (item, user) rows.
 
-    Each item's users are contiguous and sorted within a partition; a list
-    value per item is deliberately not built (a popular item's list would be
-    one unbounded value).
+    Neither a list value per item nor a physical clustering by item is built:
+    both would put all users of a popular item into one task.  Joins on
+    ``item`` use these rows directly.
     """
-    return (train.select(F.col(item).alias("item"), F.col(user).alias("user")).distinct()
-            .repartition("item").sortWithinPartitions("item", "user"))
+    return train.select(F.col(item).alias("item"), F.col(user).alias("user")).distinct()
 
 
 # ---------------------------------------------------------------- C12 - C15
