@@ -42,7 +42,8 @@ def item_popularity(train: DataFrame, item: str = "item") -> DataFrame:
     return train.groupBy(item).agg(F.count(F.lit(1)).alias("popularity"))
 
 
-def cooccurrence(train: DataFrame, group: str, member: str, out=("a", "b")) -> DataFrame:
+def cooccurrence(train: DataFrame, group: str, member: str, out=("a", "b"),
+                 block: int | None = None) -> DataFrame:
     """Ordered pairs (a, b), a != b, with the number of groups holding both.
 
     (group, member) is de-duplicated first; the unordered pairs a < b are
@@ -50,7 +51,8 @@ def cooccurrence(train: DataFrame, group: str, member: str, out=("a", "b")) -> D
     """
     a, b = out
     gm = train.select(group, member).distinct()
-    half = (pairs_within_groups(gm, group, member, left=a, right=b)
+    kw = {} if block is None else {"block": block}
+    half = (pairs_within_groups(gm, group, member, left=a, right=b, **kw)
             .groupBy(a, b).agg(F.count(F.lit(1)).alias("co")))
     return half.unionByName(half.select(F.col(b).alias(a), F.col(a).alias(b), "co"))
 

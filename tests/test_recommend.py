@@ -82,3 +82,42 @@ def test_top_n_uses_window_group_limit(spark):
     recs.collect()
     plan = recs._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_hot_user_cooccurrence_split_is_exact(spark):
+    # user 0 holds most of the rows; with block=4 its pairs are spread over
+    # 13 x 13 (user, block, block) keys and must still be counted exactly
+    rows = [(0, i, 1.0) for i in range(50)] + [(u, i, 1.0) for u in range(1, 6) for i in range(u, u + 4)]
+    df = spark.createDataFrame(rows, "user BIGINT, item BIGINT, rating DOUBLE")
+    want = defaultdict(int)
+    users = defaultdict(set)
+    for u, i, _ in rows:
+        users[u].add(i)
+    for items in users.values():
+        for a in items:
+            for b in items:
+                if a != b:
+                    want[(a, b)] += 1
+    got = {(r.a, r.b): r.co for r in C.cooccurrence(df, "user", "item", block=4).collect()}
+    assert got == dict(want)
+
+
+def test_interactions_csv_with_and_without_header(spark, tmp_path):
+    from tessera.sources import files as IO
+    p = tmp_path / "h.csv"
+    p.write_text("userId,movieId,rating,ts\n1,10,4.5,99\n2,11,3.0,98\n")
+    got = sorted(tuple(r) for r in IO.read_interactions(spark, str(p), header=True).collect())
+    assert got == [(1, 10, 4.5), (2, 11, 3.0)]
+    df = spark.createDataFrame(got, "user BIGINT, item BIGINT, rating DOUBLE")
+    IO.write_interactions(df, str(tmp_path / "o"), header=False)
+    back = sorted(tuple(r) for r in IO.read_interactions(spark, str(tmp_path / "o")).collect())
+    assert back == got
+
+
+def test_one_hot(spark):
+    from tessera.sources import files as IO
+    df = spark.createDataFrame([(1, "e", "x", "?"), (2, "p", "y", "s")],
+                               "row_id BIGINT, class STRING, a STRING, b STRING")
+    x, y = IO.one_hot(df, "class", "e")
+    assert sorted((r.row_id, r.feature) for r in x.collect()) == [(1, "a=x"), (2, "a=y"), (2, "b=s")]
+    assert sorted((r.row_id, r.y) for r in y.collect()) == [(1, 1), (2, -1)]
