@@ -165,14 +165,21 @@ def ridge_line_search(data: DataFrame, beta, grad, lam: float = 0.0, x: str = "x
 
 
 # ---------------------------------------------------------------- R5
+GRAM_MAX_D = 64   # above this, d(d+1)/2 sum columns are too wide for one aggregation
+
+
 def ridge_train(data: DataFrame, lam: float = 0.0, max_iter: int = 100, eps: float = 0.01,
-                beta0=None, method: str = "gram", x: str = "x", y: str = "y"):
+                beta0=None, method: str = "auto", x: str = "x", y: str = "y"):
     """Gradient descent from beta0 (zeros) with backtracking line search.
 
     Stops after ``max_iter`` steps or when ||grad F||_2 <= eps.  Returns
-    ``(beta, grad_norm, iterations)``; beta0 is not modified.
+    ``(beta, grad_norm, iterations)``; beta0 is not modified.  ``method="auto"``
+    uses the Gram statistics up to ``GRAM_MAX_D`` features, else one
+    distributed gradient and one line-search pass per step.
     """
     d = len(beta0) if beta0 is not None else dimension(data, x)
+    if method == "auto":
+        method = "gram" if d <= GRAM_MAX_D else "pass"
     beta = [float(v) for v in (beta0 if beta0 is not None else [0.0] * d)]
     if method == "gram":
         st = gram_statistics(data, d, x, y)
@@ -212,7 +219,7 @@ def ridge_train(data: DataFrame, lam: float = 0.0, max_iter: int = 100, eps: flo
 
 
 def ridge_train_df(data: DataFrame, lam: float = 0.0, max_iter: int = 100, eps: float = 0.01,
-                   method: str = "gram", x: str = "x", y: str = "y") -> DataFrame:
+                   method: str = "auto", x: str = "x", y: str = "y") -> DataFrame:
     """R5 as a DataFrame: (idx, beta, grad_norm, iterations)."""
     beta, gnorm, k = ridge_train(data, lam, max_iter, eps, method=method, x=x, y=y)
     return data.sparkSession.createDataFrame(

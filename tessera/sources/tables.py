@@ -107,8 +107,7 @@ def relabel(edges: DataFrame, prefix: str = "X") -> DataFrame:
 def drop_one_edge(edges: DataFrame) -> DataFrame:
     """Remove the edge with the smallest md5(src|dst): a non-isomorphic copy."""
     key = F.md5(F.concat("src", F.lit("|"), "dst"))
-    first = edges.select(F.min(key).alias("k"))
-    return (edges.join(F.broadcast(first), key == F.col("k"), "left_anti"))
+    return edges.where(key != edges.select(F.min(key)).scalar())
 
 
 def place_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
