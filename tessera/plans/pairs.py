@@ -20,15 +20,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Members per hash block of a group; block^2 pairs per (group, block, block) key.
+# A session can override it with the setting ``tessera.pairs.block``.
 PAIR_BLOCK = 4096
 
 
-def pairs_within_groups(df: DataFrame, group: str, member: str, block: int = PAIR_BLOCK,
+def pairs_within_groups(df: DataFrame, group: str, member: str, block: int | None = None,
                         left: str = "a", right: str = "b") -> DataFrame:
     """(group, a, b) for every pair of distinct members a < b of the same group.
 
     ``df`` must hold each (group, member) once.
     """
+    if block is None:
+        block = int(df.sparkSession.conf.get("tessera.pairs.block", str(PAIR_BLOCK)))
     sizes = df.groupBy(group).agg(
         F.ceil(F.count(F.lit(1)) / F.lit(float(block))).cast("int").alias("_s"))
     rows = (df.join(sizes, group)
