@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tessera.llm import language_id, packing, secret_scan
+from tessera.llm import language_id, line_dedup, packing, secret_scan, simhash
 from tessera.llm.common import documents, stage
 
 
@@ -17,6 +17,16 @@ def identify_language(spark, docs, sf_dir):
     return language_id.keep_identified(docs)
 
 
+def dedup_lines(spark, docs, sf_dir):
+    """Lines that ten documents or more share go."""
+    return line_dedup.drop_common_lines(docs)
+
+
+def dedup_documents(spark, docs, sf_dir):
+    """One document of each near-duplicate group stays."""
+    return simhash.keep_one(docs)
+
+
 def redact_secrets(spark, docs, sf_dir):
     """Every secret found, in any layer, is replaced by a mark."""
     return secret_scan.redact_documents(docs)
@@ -29,6 +39,8 @@ def pack(spark, docs, sf_dir):
 
 STAGES = [
     ("language_id", identify_language),
+    ("line_dedup", dedup_lines),
+    ("simhash_dedup", dedup_documents),
     ("secret_scan", redact_secrets),
     ("packing", pack),
 ]

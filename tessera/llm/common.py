@@ -88,3 +88,46 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], sche
 
 #: What may precede a split between two pieces: any white space, as ``re`` sees it.
 SPACE_BEFORE_SPACE = re.compile(r"\s ")
+
+
+def deal_groups(rows: DataFrame, homes: DataFrame, key: str, identity: str, block: int) -> DataFrame:
+    """Rows dealt and sorted by (key, salt) for a streaming group comparison.
+
+    In ``rows`` each key has home rows (``home`` is true) and replicas; every
+    home row is to meet every row of its key.  A key with more than ``block``
+    home rows is split: its home rows are spread over salts by their identity,
+    and all rows are copied to each salt (a home row counts as a replica in the
+    others).  ``homes`` holds the home rows' keys alone; keys that need a split
+    are few, as each has over ``block`` of them.
+    """
+    heavy = stage(homes.groupBy(key).count().where(F.col("count") > block)
+                  .select(key, F.ceil(F.col("count") / F.lit(float(block))).cast("int").alias("_salts")),
+                  "heavy-keys")
+    salts = F.col("_salts")
+    out = (rows.join(heavy, key, "left")
+           .withColumn("_salt", F.explode(F.when(salts.isNull(), F.array(F.lit(0)))
+                                          .otherwise(F.sequence(F.lit(0), salts - 1))))
+           .withColumn("home", F.col("home") & (
+               salts.isNull() | (F.pmod(F.xxhash64(identity), salts) == F.col("_salt"))))
+           .drop("_salts"))
+    return out.repartition(key, "_salt").sortWithinPartitions(key, "_salt")
+
+
+def groups_of(batches: Iterator[dict], keys: tuple[str, ...]) -> Iterator[dict]:
+    """Groups of two or more rows from batches sorted by ``keys`` (numbers),
+    as column dictionaries; a group may span batches."""
+    import numpy as np
+
+    kept: dict | None = None
+    for b in batches:
+        if kept is not None:
+            b = {k: kept[k] + v for k, v in b.items()}
+        k = np.array([b[c] for c in keys], np.int64)
+        cut = np.nonzero((k[:, 1:] != k[:, :-1]).any(0))[0] + 1
+        starts = np.concatenate([[0], cut])
+        ends = np.concatenate([cut, [k.shape[1]]])
+        for i in np.nonzero(ends[:-1] - starts[:-1] > 1)[0]:
+            yield {c: v[starts[i]:ends[i]] for c, v in b.items()}
+        kept = {c: v[starts[-1]:] for c, v in b.items()}
+    if kept is not None and len(next(iter(kept.values()))) > 1:
+        yield kept

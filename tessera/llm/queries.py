@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tessera.llm import byte_bpe, language_id, packing, secret_scan
+from tessera.llm import byte_bpe, language_id, line_dedup, packing, secret_scan, simhash
 from tessera.llm.common import documents
 
 QUERIES = {}
@@ -18,6 +18,15 @@ def query(name):
     return add
 
 
+@query("op2_line_dedup")
+def q_line_dedup(spark, sf_dir):
+    """Documents without the lines that ten documents or more share."""
+    return line_dedup.dedup_digests(documents(spark, sf_dir))
+
+
+ORACLE["op2_line_dedup"] = line_dedup.ORACLE
+
+
 @query("op4_byte_bpe")
 def q_byte_bpe(spark, sf_dir):
     """Encode and decode every text; digests of the ids and the decoded bytes."""
@@ -40,6 +49,12 @@ def q_language_id(spark, sf_dir):
     return language_id.identify(docs, model)
 
 
+@query("op9_simhash")
+def q_simhash(spark, sf_dir):
+    """SimHash fingerprint and near-duplicate component of every document."""
+    return simhash.simhash_documents(documents(spark, sf_dir))
+
+
 @query("op10_packing")
 def q_packing(spark, sf_dir):
     """All documents packed into windows of 2048 tokens."""
