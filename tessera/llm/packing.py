@@ -21,10 +21,13 @@ ids are unique within one run: partition number x 2^33 + a counter.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import public_tokenizers
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -38,20 +41,42 @@ SPECIAL = "<|endoftext|>"
 _LOADED: dict[str, "Ids"] = {}
 
 
+def _merge_ranks(path: str) -> dict[bytes, int] | None:
+    """token bytes -> id of a byte-level BPE file, if its ids follow its merges."""
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)
+    vocab, merges = model["model"]["vocab"], model["model"]["merges"]
+    special = {t["content"] for t in model.get("added_tokens", [])}
+    # the byte-level alphabet: printable Latin-1 stands for itself, other bytes for 256, 257, ...
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+    byte_of = {chr(b): b for b in own}
+    byte_of.update((chr(256 + i), b) for i, b in enumerate(b for b in range(256) if b not in own))
+    joined = [m.replace(" ", "", 1) if isinstance(m, str) else "".join(m) for m in merges]
+    order = [vocab.get(j, -1) for j in joined]
+    if order != sorted(order) or -1 in order:
+        return None
+    return {bytes(byte_of[c] for c in t): i for t, i in vocab.items() if t not in special}
+
+
 class Ids:
     """Ids of a text under a byte-level BPE tokenizer file, as uint32 bytes.
 
     A boundary before white space that follows a non-space character is always
     a pre-token boundary, so a text may be split there and its parts be looked
-    up in a bounded cache.  Parts that are not in the cache are encoded
-    together, by the tokenizer.  Texts where white space precedes a space, or
-    which hold the special token's string, are encoded in one call instead.
+    up in a bounded cache.  Parts that are not in the cache are encoded from
+    the file's own merge ranks, where ids follow the order of the merges (then
+    the lowest rank is the next merge); other files, and texts where white
+    space precedes a space or which hold the special token's string, go to the
+    tokenizer itself.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.cache: dict[str, bytes] = {}
+        ranks = _merge_ranks(path)
+        self.ranked = ranks and tiktoken.Encoding(
+            "ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     @classmethod
     def get(cls, path: str) -> "Ids":
@@ -60,17 +85,23 @@ class Ids:
         return _LOADED[path]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
+        """Ids of parts that hold no special token's string."""
+        if self.ranked:
+            return [np.array(self.ranked.encode_ordinary(t), "<u4").tobytes() for t in texts]
+        return self._whole(texts)
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > CACHE:
             self.cache.clear()
-        cache, parts, missing = self.cache, [], set()
+        cache, parts, missing, whole = self.cache, [], set(), []
         for text in texts:
             if SPECIAL in text or SPACE_BEFORE_SPACE.search(text):
-                parts.append([text])
-                missing.add(text)
+                parts.append(None)
+                whole.append(text)
                 continue
             p = text.split(" ")
             p = p[:1] * bool(p[0]) + [" " + x for x in p[1:]]
@@ -81,7 +112,8 @@ class Ids:
         cache.update((k, v) for k, v in fresh.items() if len(k) <= 64)
         rest = {k: v for k, v in fresh.items() if len(k) > 64}
         get = (lambda x: rest[x] if len(x) > 64 else cache[x]) if rest else cache.__getitem__
-        return [b"".join(map(get, p)) for p in parts]
+        others = iter(self._whole(whole))
+        return [next(others) if p is None else b"".join(map(get, p)) for p in parts]
 
 
 class Packer:
