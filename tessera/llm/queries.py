@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tessera.llm import byte_bpe, language_id, line_dedup, packing, secret_scan, simhash
+from tessera.llm import (byte_bpe, embedding_dedup, fingerprint, language_id, line_dedup, packing, secret_scan,
+                         simhash)
 from tessera.llm.common import documents
 
 QUERIES = {}
@@ -27,6 +28,12 @@ def q_line_dedup(spark, sf_dir):
 ORACLE["op2_line_dedup"] = line_dedup.ORACLE
 
 
+@query("op3_fingerprint")
+def q_fingerprint(spark, sf_dir):
+    """Fingerprints of every document and its edited copy, and their likeness."""
+    return fingerprint.fingerprint_documents(documents(spark, sf_dir))
+
+
 @query("op4_byte_bpe")
 def q_byte_bpe(spark, sf_dir):
     """Encode and decode every text; digests of the ids and the decoded bytes."""
@@ -41,6 +48,15 @@ def q_secret_scan(spark, sf_dir):
     return secret_scan.scan_documents(documents(spark, sf_dir))
 
 
+@query("op6_embedding_dedup")
+def q_embedding_dedup(spark, sf_dir):
+    """Links and components of the vectors of each label."""
+    return embedding_dedup.link_vectors(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
+
+
+ORACLE["op6_embedding_dedup"] = embedding_dedup.ORACLE
+
+
 @query("op7_language_id")
 def q_language_id(spark, sf_dir):
     """Predicted language of every text, learned from two thirds of the rows."""
