@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tessera.llm import (byte_bpe, embedding_dedup, fingerprint, language_id, line_dedup, packing, secret_scan,
+from tessera.llm import (byte_bpe, embedding_dedup, fingerprint, katz, language_id, line_dedup, packing, secret_scan,
                          simhash)
 from tessera.llm.common import documents
 
@@ -19,6 +19,12 @@ def query(name):
     return add
 
 
+@query("op1_katz_score")
+def q_katz_score(spark, sf_dir):
+    """Katz backoff score of every text, learned from nine tenths of them."""
+    return katz.score_documents(documents(spark, sf_dir))
+
+
 @query("op2_line_dedup")
 def q_line_dedup(spark, sf_dir):
     """Documents without the lines that ten documents or more share."""
