@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tessera.llm import (byte_bpe, embedding_dedup, fingerprint, katz, language_id, line_dedup, packing, secret_scan,
-                         simhash)
+from tessera.llm import (byte_bpe, embedding_dedup, fingerprint, katz, language_id, line_dedup, packing, repeats,
+                         secret_scan, simhash)
 from tessera.llm.common import documents
 
 QUERIES = {}
@@ -71,6 +71,12 @@ def q_language_id(spark, sf_dir):
     return language_id.identify(docs, model)
 
 
+@query("op8_repeats")
+def q_repeats(spark, sf_dir):
+    """Every text without the bytes of its repeated 400-byte strings."""
+    return repeats.remove_repeats(documents(spark, sf_dir)).drop("spans")
+
+
 @query("op9_simhash")
 def q_simhash(spark, sf_dir):
     """SimHash fingerprint and near-duplicate component of every document."""
