@@ -14,11 +14,11 @@ string synchronising set), and the recursion stops at the first level:
   out; this is nearly all text that does not repeat.
 * Names of runs.  Runs with equal bytes repeat as a whole, and are settled
   without looking inside.
-* Remaining suffixes.  Where runs of one name differ, their single windows
-  (and those of one representative of each settled run) are compared as
-  neighbours in hash order.
+* Recursion.  Where runs of one name differ, they (and one representative of
+  each settled run) are cut into finer runs, named by longer substrings, and
+  settled in the same way; what is still open is compared window by window.
 
-Hashes are 64-bit; a run's and a window's equality rests on a 128-bit hash.
+Equality of runs and windows rests on two 64-bit hashes, the name and their own.
 Names are counted with map-side combining, and joins read plain written tables, so
 Spark can split a name that a third of all rows share.
 
@@ -39,6 +39,7 @@ from tessera.llm.common import map_rows, stage, text_or_empty
 
 LENGTH = 400
 NAMING = 96  # candidate positions per window; a name is a substring of LENGTH - NAMING + 1 bytes
+FINE = 16  # the same within runs that are still open after the first round
 SLICE = 1 << 18
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _TABLES = np.random.default_rng(42).integers(0, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -88,13 +89,13 @@ def _slices(raw: bytes, length: int):
 
 
 def runs_of(raw: bytes, length: int, naming: int):
-    """(name, first window, last window, hash, hash, inner) per run; ``inner``
-    is 1 where the naming substring occurs more than once in the run."""
+    """(name, first window, last window, hash, inner, window hash function) per
+    run; ``inner`` is 1 where the naming substring occurs more than once in the run."""
     seed = length - naming + 1
     for s, data in _slices(raw, length):
-        prefix = [_Prefix(data, 0), _Prefix(data, 1)]
+        named, whole = _Prefix(data, 0), _Prefix(data, 1)
         at = np.arange(len(data) - seed + 1)
-        seeds = prefix[0].hash(at, at + seed)
+        seeds = named.hash(at, at + seed)
         low = _sliding_min(seeds, naming)
         lo = np.concatenate([[0], np.nonzero(low[1:] != low[:-1])[0] + 1])
         hi = np.concatenate([lo[1:], [len(low)]]) - 1
@@ -104,20 +105,21 @@ def runs_of(raw: bytes, length: int, naming: int):
             inside = near < np.minimum(hi[c:c + 4096] + naming, len(seeds))[:, None]
             same = seeds[np.minimum(near, len(seeds) - 1)] == low[lo[c:c + 4096]][:, None]
             inner[c:c + 4096] |= (same & inside).sum(1) > 1
-        ends = hi + length
-        yield (low[lo].view(np.int64), lo + s, hi + s, prefix[0].hash(lo, ends).view(np.int64),
-               prefix[1].hash(lo, ends).view(np.int64), inner)
+        at = np.arange(len(low))
+        yield (low[lo].view(np.int64), lo + s, hi + s, whole.hash(lo, hi + length).view(np.int64), inner,
+               whole.hash(at, at + length).view(np.int64))
 
 
-def windows_of(raw: bytes, spans: list[tuple[int, int]], length: int):
-    """(window, hash, hash) of all windows in the spans (first, last)."""
-    for s, data in _slices(raw, length):
-        top = s + len(data) - length
-        pick = [np.arange(max(a, s), min(b, top) + 1) for a, b in spans if b >= s and a <= top]
-        if pick:
-            at = np.unique(np.concatenate(pick)) - s
-            prefix = [_Prefix(data, 0), _Prefix(data, 1)]
-            yield at + s, *(p.hash(at, at + length).view(np.int64) for p in prefix)
+def inner_runs_of(raw: bytes, spans: list[tuple[int, int]], length: int, naming: int):
+    """(name, first window, last window, hash, inner, hashes of its windows) of
+    the runs inside each span (first, last window)."""
+    for a, b in spans:
+        part = raw[a:b + length]
+        for name, lo, hi, h, inner, windows in runs_of(part, length, naming):
+            first = int(lo[0])
+            for j in range(len(lo)):
+                yield (int(name[j]), a + int(lo[j]), a + int(hi[j]), int(h[j]), int(inner[j]),
+                       windows[lo[j] - first:hi[j] - first + 1].astype("<i8").tobytes())
 
 
 def _joined_spans(spans: list[tuple[int, int]]) -> list[list[int]]:
@@ -130,59 +132,77 @@ def _joined_spans(spans: list[tuple[int, int]]) -> list[list[int]]:
     return out
 
 
-def repeated_windows(rows: DataFrame, length: int = LENGTH, naming: int = NAMING) -> DataFrame:
-    """(doc, row, a, b): first windows a to b of ``rows(doc, row, _text)``
-    occur at another place too."""
+def _settle(runs: DataFrame, carried: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """(runs whose bytes occur again, runs still to look into).
+
+    The second part has one run of each class of equal runs, for the names of
+    which some run is on its own: as the name decides, only those can still
+    share single windows.  A name with a single run can only if the name occurs
+    twice within it.
+    """
+    key = ["name", "h", "len"]
+    runs = runs.withColumn("len", F.col("b") - F.col("a"))
+    one = F.min(F.struct("doc", "row", "a", "b", *carried)).alias("one")
+    classes = stage(runs.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("n"), F.max("inner").alias("inner"), one), "run-classes")
+    settled = runs.join(classes.where("n > 1").select(*key), key, "left_semi").select("doc", "row", "a", "b")
+    mixed = stage(classes.groupBy("name").agg(
+        F.min("n").alias("least"), F.count(F.lit(1)).alias("kinds"), F.max("inner").alias("inner"))
+        .where("least = 1 AND (kinds > 1 OR inner > 0)").select("name"), "open-names")
+    return settled, classes.join(mixed, "name", "left_semi").select("name", "one.*")
+
+
+def repeated_windows(rows: DataFrame, length: int = LENGTH, naming: int = NAMING, fine: int = FINE) -> DataFrame:
+    """(doc, row, a, b): windows a to b of ``rows(doc, row, _text)`` occur at
+    another place too."""
     kind = rows.schema["doc"].dataType.simpleString()
 
     def emit(batches):
         for b in batches:
             for doc, row, text in zip(b["doc"], b["row"], b["_text"]):
-                for name, lo, hi, h1, h2, inner in runs_of(text.encode(), length, naming):
+                for name, lo, hi, h, inner, _ in runs_of(text.encode(), length, naming):
                     yield {"doc": [doc] * len(lo), "row": [row] * len(lo), "name": name, "a": lo, "b": hi,
-                           "h1": h1, "h2": h2, "inner": inner}
+                           "h": h, "inner": inner}
 
-    runs = map_rows(rows, emit, f"doc {kind}, row long, name long, a long, b long, h1 long, h2 long, inner int")
+    runs = map_rows(rows, emit, f"doc {kind}, row long, name long, a int, b int, h long, inner int")
     # names seen twice; the count is combined within each task
     names = stage(runs.groupBy("name").agg(F.sum(1 + F.col("inner")).alias("n")).where("n > 1").select("name"), "names")
-    twice = stage(runs.join(names, "name", "left_semi"), "runs")
-    length_of = (F.col("b") - F.col("a")).alias("len")
-    classes = stage(twice.select("*", length_of).groupBy("name", "h1", "h2", "len").agg(
-        F.count(F.lit(1)).alias("n"), F.max("inner").alias("inner"),
-        F.min(F.struct("doc", "row", "a", "b")).alias("one")), "run-classes")
-    settled = twice.select("*", length_of).join(
-        classes.where("n > 1").select("name", "h1", "h2", "len"), ["name", "h1", "h2", "len"], "left_semi"
-    ).select("doc", "row", "a", "b")
-    # names with a run that is still open, and what to compare there: one run of each class
-    mixed = stage(classes.groupBy("name").agg(
-        F.min("n").alias("least"), F.count(F.lit(1)).alias("kinds"), F.max("inner").alias("inner"))
-        .where("least = 1 AND (kinds > 1 OR inner > 0)").select("name"), "open-names")
-    look = (classes.join(mixed, "name", "left_semi").select("one.*")
-            .groupBy("doc", "row").agg(F.collect_list(F.struct("a", "b")).alias("spans")))
+    settled, opened = _settle(stage(runs.join(names, "name", "left_semi"), "runs"))
+    spans = stage(opened.groupBy("doc", "row").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "open-spans")
 
-    def windows(batches):
+    def emit_inner(batches):
+        names = ("name", "a", "b", "h", "inner", "hashes")
         for b in batches:
             for doc, row, text, spans in zip(b["doc"], b["row"], b["_text"], b["spans"]):
-                spans = [(x["a"], x["b"]) for x in spans]
-                for at, h1, h2 in windows_of(text.encode(), spans, length):
-                    yield {"doc": [doc] * len(at), "row": [row] * len(at), "i": at, "h1": h1, "h2": h2}
+                found = list(zip(*inner_runs_of(text.encode(), [(x["a"], x["b"]) for x in spans], length, fine)))
+                yield {"doc": [doc] * len(found[0]), "row": [row] * len(found[0]), **dict(zip(names, found))}
 
     same = [rows["doc"].eqNullSafe(F.col("s.doc")), rows["row"] == F.col("s.row")]
-    opened = stage(look, "open-spans")
-    single = stage(map_rows(rows.join(opened.alias("s"), same).select(rows["doc"], rows["row"], "_text", "spans"),
-                            windows, f"doc {kind}, row long, i long, h1 long, h2 long"), "windows")
-    again = stage(single.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2"), "repeated-windows")
-    found = single.join(again, ["h1", "h2"], "left_semi").select("doc", "row", F.col("i").alias("a"), F.col("i").alias("b"))
-    return settled.unionByName(found)
+    inside = rows.join(spans.alias("s"), same).select(rows["doc"], rows["row"], "_text", "spans")
+    inner = stage(map_rows(inside, emit_inner, f"doc {kind}, row long, name long, a int, b int, h long, inner int, "
+                                               "hashes binary"), "inner-runs")
+    again, still = _settle(inner, ("hashes",))
+
+    def explode(batches):
+        for b in batches:
+            for doc, row, name, a, raw in zip(b["doc"], b["row"], b["name"], b["a"], b["hashes"]):
+                h = np.frombuffer(raw, "<i8")
+                yield {"doc": [doc] * len(h), "row": [row] * len(h), "name": [name] * len(h), "h": h,
+                       "a": np.arange(a, a + len(h))}
+
+    single = stage(map_rows(still, explode, f"doc {kind}, row long, name long, h long, a int"), "windows")
+    twice = stage(single.groupBy("name", "h").count().where("count > 1").select("name", "h"), "repeated-windows")
+    found = single.join(twice, ["name", "h"], "left_semi").select("doc", "row", "a", F.col("a").alias("b"))
+    return settled.unionByName(again).unionByName(found)
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, naming: int = NAMING) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, naming: int = NAMING, fine: int = FINE) -> DataFrame:
     """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and spans
     (first byte, end) removed."""
     rows = docs.select(F.col("doc_id").alias("doc"), text_or_empty().alias("_text")).withColumn(
         "row", F.xxhash64("_text"))
     kind = rows.schema["doc"].dataType.simpleString()
-    windows = repeated_windows(rows.where(F.octet_length("_text") >= length), length, naming)
+    windows = repeated_windows(rows.where(F.octet_length("_text") >= length), length, naming, fine)
     per = stage(windows.groupBy("doc", "row").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "repeats")
     joined = rows.join(per.alias("s"), [rows["doc"].eqNullSafe(F.col("s.doc")), rows["row"] == F.col("s.row")], "left"
                        ).select(rows["doc"], "_text", "spans")

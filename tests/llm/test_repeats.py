@@ -35,8 +35,8 @@ def test_query_equals_window_count(spark, sf):
     assert any(v[1] for v in got.values())
 
 
-@pytest.mark.parametrize("length,naming", [(12, 5), (20, 20), (9, 2)])
-def test_short_lengths(spark, length, naming):
+@pytest.mark.parametrize("length,naming,fine", [(12, 5, 2), (20, 20, 4), (9, 2, 1)])
+def test_short_lengths(spark, length, naming, fine):
     rng = random.Random(length)
     texts = ["".join(rng.choice("ab") for _ in range(rng.randrange(90))) for _ in range(60)]
     base = "".join(rng.choice("abcdefgé") for _ in range(300))
@@ -47,7 +47,7 @@ def test_short_lengths(spark, length, naming):
         s = rng.randrange(100)
         texts.append("".join(x[s:s + rng.randrange(200)]))
     texts += ["a" * 50, "abc" * 30, "q" * 11, "xyzxyzxyzxyzxyz" * 2] + AWKWARD[:6] + AWKWARD[8:]
-    got = values(R.remove_repeats(clash(frame(spark, texts)), length, naming))
+    got = values(R.remove_repeats(clash(frame(spark, texts)), length, naming, fine))
     assert got == dict(enumerate(plain(texts, length)))
 
 
