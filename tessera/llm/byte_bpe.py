@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import map_rows, text_or_empty
 
-CHUNK = 16384
+CHUNK = 32768
 OVERLAP = 512
 CACHE = 300_000
 _LOADED: dict[tuple[str, str], "Codec"] = {}
@@ -83,7 +83,8 @@ class Codec:
 
 def stitch(windows: list[tuple[int, str, list[int], bytes, list[int]]], codec: Codec) -> bytes:
     """Ids of the text covered by consecutive windows (first character, text,
-    ends of its pre-tokens counted from there, ids, ids up to each end)."""
+    ends of its pre-tokens near both edges, counted from there, ids, ids up to
+    each of these ends)."""
     out: list[bytes] = []
     at, skip = 0, 0  # position from which the current window is right, and its ids before that
     for k, (lo, text, ends, ids, upto) in enumerate(windows):
@@ -157,8 +158,12 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, digest: boo
             for text in b["_window"]:
                 pieces = codec.pieces(text)
                 parts = [codec.cache[p] for p in pieces]
-                out["_ends"].append(np.cumsum([len(p) for p in pieces], dtype=np.int32).tobytes())
-                out["_upto"].append(np.cumsum([len(p) // 4 for p in parts], dtype=np.int32).tobytes())
+                ends = np.cumsum([len(p) for p in pieces], dtype=np.int32)
+                upto = np.cumsum([len(p) // 4 for p in parts], dtype=np.int32)
+                # a neighbour shares 2 * overlap characters at most: no other boundary can be common
+                shared = (ends <= 2 * overlap) | (ends >= len(text) - 2 * overlap)
+                out["_ends"].append(ends[shared].tobytes())
+                out["_upto"].append(upto[shared].tobytes())
                 out["_ids"].append(b"".join(parts))
             yield {**{c: b[c] for c in ("doc_id", "_key", "_i", "_lo", "_window")}, **out}
 
