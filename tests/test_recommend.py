@@ -121,3 +121,13 @@ def test_one_hot(spark):
     x, y = IO.one_hot(df, "class", "e")
     assert sorted((r.row_id, r.feature) for r in x.collect()) == [(1, "a=x"), (2, "a=y"), (2, "b=s")]
     assert sorted((r.row_id, r.y) for r in y.collect()) == [(1, 1), (2, -1)]
+
+
+def test_malformed_lines_fail_the_read(spark, tmp_path):
+    import pytest
+    from tessera.sources import files as IO
+    for n, bad in enumerate(("x7,3,4.0", "2,2,abc", "1,2")):
+        p = tmp_path / f"bad{n}"
+        p.write_text(f"1,2,3.0\n{bad}\n")
+        with pytest.raises(Exception, match="bad "):
+            IO.read_interactions(spark, str(p)).collect()
