@@ -33,7 +33,7 @@ from tessera.llm.common import map_rows, text_or_empty
 
 CHUNK = 32768
 OVERLAP = 512
-CACHE = 300_000
+CACHE = 150_000
 _LOADED: dict[tuple[str, str], "Codec"] = {}
 
 

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from tessera.session import ensure_checkpoint_dir
 
+#: Bytes of an Arrow batch that become Python objects at once.
+AT_ONCE = 8 << 20
 #: ASCII white space, as the operators' contracts define it.
 WHITE = " \t\n\x0b\x0c\r"
 _UPPER = bytes(range(65, 91))
@@ -66,7 +68,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def map_rows(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], schema: str) -> DataFrame:
     """``mapInArrow`` over batches turned into column dictionaries.
 
-    ``fn`` gets an iterator of ``{column: list}`` per Arrow batch and yields
+    ``fn`` gets an iterator of ``{column: list}`` per part of a batch and yields
     dictionaries of output columns (lists or arrays).
     """
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -77,8 +79,11 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], sche
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def columns():
             for b in batches:
-                if b.num_rows:
-                    yield {n: c.to_pylist() for n, c in zip(b.schema.names, b.columns)}
+                # Python objects of a few MB at a time, whatever the batch holds
+                step = max(1, b.num_rows * AT_ONCE // max(AT_ONCE, b.nbytes))
+                for s in range(0, b.num_rows, step):
+                    part = b.slice(s, step)
+                    yield {n: c.to_pylist() for n, c in zip(part.schema.names, part.columns)}
         for out in fn(columns()):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out[f.name], type=f.type) for f in arrow], schema=arrow)

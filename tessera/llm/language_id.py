@@ -32,7 +32,7 @@ from tessera.llm.common import free_name, id_remainder, map_rows
 DIMS = 1 << 14
 ORDERS = (1, 2, 3)
 SMOOTHING = 0.5
-SLICE = 1 << 20
+SLICE = 1 << 18
 MAX_LANGUAGES = 512
 UNDETERMINED = "und"
 _LETTER = regex.compile(r"\p{L}")
