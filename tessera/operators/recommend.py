@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.expr import hash_bucket
+from tessera.plans.iterate import checkpoint
 from tessera.plans.pairs import pairs_within_groups, top_k_per_group
 
 N_SIM = 40   # neighbours per item / user (K)
@@ -37,24 +38,46 @@ def random_split(ratings: DataFrame, weights=(0.75, 0.25), seed: int = 0):
 
 
 # ---------------------------------------------------------------- C3 C4 C5
-def item_popularity(train: DataFrame, item: str = "item") -> DataFrame:
-    """Number of train interactions per item."""
-    return train.groupBy(item).agg(F.count(F.lit(1)).alias("popularity"))
+def one_rating(train: DataFrame, user: str = "user", item: str = "item", rating: str = "rating") -> DataFrame:
+    """One row per (user, item): of repeated ratings the highest stays."""
+    return train.groupBy(user, item).agg(F.max(rating).alias(rating))
 
 
-def cooccurrence(train: DataFrame, group: str, member: str, out=("a", "b"),
-                 block: int | None = None) -> DataFrame:
-    """Ordered pairs (a, b), a != b, with the number of groups holding both.
+def item_popularity(train: DataFrame, item: str = "item", user: str = "user") -> DataFrame:
+    """Number of users with a train interaction per item."""
+    return train.groupBy(item).agg(F.countDistinct(user).alias("popularity"))
+
 
-    (group, member) is de-duplicated first; the unordered pairs a < b are
-    counted once and mirrored, which halves the pair volume.
+def _pair_counts(train: DataFrame, group: str, member: str, a: str, b: str,
+                 block: int | None = None, normed: bool = False) -> DataFrame:
+    """Unordered pairs a < b with ``co``, the number of groups holding both;
+    ``normed`` adds ``_na`` and ``_nb``, the number of groups of each.
+
+    (group, member) is de-duplicated once, into a written table.  The numbers
+    of groups join those rows before the pairing and are carried through it,
+    so the pair table, the largest one here, is never joined.
     """
-    a, b = out
-    gm = train.select(group, member).distinct()
-    kw = {} if block is None else {"block": block}
-    half = (pairs_within_groups(gm, group, member, left=a, right=b, **kw)
-            .groupBy(a, b).agg(F.count(F.lit(1)).alias("co")))
-    return half.unionByName(half.select(F.col(b).alias(a), F.col(a).alias(b), "co"))
+    gm = checkpoint(train.select(group, member).distinct())
+    sums = [F.count(F.lit(1)).alias("co")]
+    carry: tuple[str, ...] = ()
+    if normed:
+        gm = gm.join(checkpoint(gm.groupBy(member).agg(F.count(group).alias("_n"))), member)
+        carry = ("_n",)
+        sums += [F.max("_n_l").alias("_na"), F.max("_n_r").alias("_nb")]
+    return pairs_within_groups(gm, group, member, block, a, b, carry).groupBy(a, b).agg(*sums)
+
+
+def _mirrored(half: DataFrame, a: str, b: str, value: str) -> DataFrame:
+    """(a, b, value) in both directions, from one pass over the pairs."""
+    return half.select(F.inline(F.array(
+        F.struct(F.col(a).alias(a), F.col(b).alias(b), F.col(value).alias(value)),
+        F.struct(F.col(b).alias(a), F.col(a).alias(b), F.col(value).alias(value)))))
+
+
+def cooccurrence(train: DataFrame, group: str, member: str, out=("a", "b"),
+                 block: int | None = None) -> DataFrame:
+    """Ordered pairs (a, b), a != b, with the number of groups holding both."""
+    return _mirrored(_pair_counts(train, group, member, *out, block), *out, "co")
 
 
 def item_cooccurrence(train: DataFrame, user: str = "user", item: str = "item") -> DataFrame:
@@ -67,24 +90,20 @@ def user_cooccurrence(train: DataFrame, user: str = "user", item: str = "item")
     return cooccurrence(train, item, user, out=("u", "v"))
 
 
-def _normalise(co: DataFrame, counts: DataFrame, a: str, b: str, key: str) -> DataFrame:
-    ca = counts.select(F.col(key).alias(a), F.col("n").alias("_na"))
-    cb = counts.select(F.col(key).alias(b), F.col("n").alias("_nb"))
-    return (co.join(ca, a).join(cb, b)
-            .select(a, b, (F.col("co") / F.sqrt(F.col("_na") * F.col("_nb"))).alias("sim")))
+def _similarity(train: DataFrame, group: str, member: str, a: str, b: str) -> DataFrame:
+    half = _pair_counts(train, group, member, a, b, normed=True)
+    return _mirrored(half.select(a, b, (F.col("co") / F.sqrt(F.col("_na") * F.col("_nb"))).alias("sim")),
+                     a, b, "sim")
 
 
 def item_similarity(train: DataFrame, user: str = "user", item: str = "item") -> DataFrame:
-    """sim(i, j) = C[i][j] / sqrt(N[i] * N[j]), N = item popularity."""
-    pop = item_popularity(train, item).select(F.col(item).alias("k"),
-                                              F.col("popularity").alias("n"))
-    return _normalise(item_cooccurrence(train, user, item), pop, "i", "j", "k")
+    """sim(i, j) = C[i][j] / sqrt(N[i] * N[j]), N = users who have the item."""
+    return _similarity(train, user, item, "i", "j")
 
 
 def user_similarity(train: DataFrame, user: str = "user", item: str = "item") -> DataFrame:
     """sim(u, v) = C[u][v] / sqrt(N[u] * N[v]), N = train items of the user."""
-    n = train.groupBy(user).agg(F.count(F.lit(1)).alias("n")).withColumnRenamed(user, "k")
-    return _normalise(user_cooccurrence(train, user, item), n, "u", "v", "k")
+    return _similarity(train, item, user, "u", "v")
 
 
 def nearest(sim: DataFrame, a: str, b: str, k: int) -> DataFrame:
@@ -99,10 +118,12 @@ def item_cf_recommend(train: DataFrame, sim: DataFrame, k: int = N_SIM, n: int =
     """For each watched item take its k nearest items, drop watched ones
     (after the cut), score = sum of sim * rating, keep the top n per user.
 
+    Repeated ratings count once.  The neighbours are written before the join
+    on the item, so that both its sides are plain reads and a hot item splits.
     Returns (user, item, score, rank).
     """
-    nb = nearest(sim, "i", "j", k).select("i", "j", "sim")
-    watched = train.select(F.col(user).alias("user"), F.col(item).alias("item"),
+    nb = checkpoint(nearest(sim, "i", "j", k).select("i", "j", "sim"))
+    watched = one_rating(train, user, item, rating).select(F.col(user).alias("user"), F.col(item).alias("item"),
                            F.col(rating).alias("r"))
     cand = (watched.join(nb, watched.item == nb.i)
             .select("user", F.col("j").alias("item"), (F.col("sim") * F.col("r")).alias("s")))
@@ -114,15 +135,15 @@ def item_cf_recommend(train: DataFrame, sim: DataFrame, k: int = N_SIM, n: int =
 def item_cf_recommend_per_rating(train: DataFrame, sim: DataFrame, k: int = N_SIM,
                                  n: int = N_REC, user: str = "user", item: str = "item",
                                  rating: str = "rating") -> DataFrame:
-    """Every rating row yields its own top-n list (k nearest items of the
+    """Every rating (repeated ones count once) yields its own top-n list (k nearest items of the
     rated item, only the item itself skipped, score = sim * rating); a user's
     lists are concatenated and cut to n again.  The same item may occur twice
     and watched items are not removed.
 
     Returns (user, src_item, item, score, rank).
     """
-    nb = nearest(sim, "i", "j", k).select("i", "j", "sim")
-    rows = train.select(F.col(user).alias("user"), F.col(item).alias("src_item"),
+    nb = checkpoint(nearest(sim, "i", "j", k).select("i", "j", "sim"))
+    rows = one_rating(train, user, item, rating).select(F.col(user).alias("user"), F.col(item).alias("src_item"),
                         F.col(rating).alias("r"))
     cand = (rows.join(nb, rows.src_item == nb.i)
             .where(F.col("j") != F.col("src_item"))
@@ -209,7 +230,7 @@ def mean_popularity(recs: DataFrame, train: DataFrame, n: int = N_REC, users: Da
     """Sum of ln(1 + popularity) of recommended items / (n * evaluated users)."""
     if users is None:
         users = train.select(F.col(user).alias("user")).distinct()
-    pop = item_popularity(train, item).withColumnRenamed(item, "item")
+    pop = item_popularity(train, item, user).withColumnRenamed(item, "item")
     s = (recs.select("item").join(pop, "item")
          .agg(F.sum(F.log1p(F.col("popularity"))).alias("pop_sum")))
     u = users.select(F.count(F.lit(1))).scalar()

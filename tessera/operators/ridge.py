@@ -122,12 +122,6 @@ def _dot(a, b):
     return sum(p * q for p, q in zip(a, b))
 
 
-def _objective_from_stats(st, beta, lam):
-    n = st["n"]
-    q = st["yy"] - 2.0 * _dot(beta, st["xty"]) + _dot(beta, _matvec(st["xtx"], beta))
-    return q / n + lam * _dot(beta, beta)
-
-
 def _gradient_from_stats(st, beta, lam):
     n = st["n"]
     xb = _matvec(st["xtx"], beta)
@@ -165,31 +159,24 @@ def ridge_line_search(data: DataFrame, beta, grad, lam: float = 0.0, x: str = "x
 
 
 # ---------------------------------------------------------------- R5
-GRAM_MAX_D = 64   # above this, d(d+1)/2 sum columns are too wide for one aggregation
-
-
 def ridge_train(data: DataFrame, lam: float = 0.0, max_iter: int = 100, eps: float = 0.01,
-                beta0=None, method: str = "auto", x: str = "x", y: str = "y"):
+                beta0=None, method: str = "gram", x: str = "x", y: str = "y"):
     """Gradient descent from beta0 (zeros) with backtracking line search.
 
     Stops after ``max_iter`` steps or when ||grad F||_2 <= eps.  Returns
-    ``(beta, grad_norm, iterations)``; beta0 is not modified.  ``method="auto"``
-    uses the Gram statistics up to ``GRAM_MAX_D`` features, else one
-    distributed gradient and one line-search pass per step.
+    ``(beta, grad_norm, iterations)``; beta0 is not modified.  The caller
+    picks the method: ``"gram"`` reads the data once and suits d up to some
+    dozens (d(d+1)/2 sums); ``"pass"`` reads it twice per step.
     """
     d = len(beta0) if beta0 is not None else dimension(data, x)
-    if method == "auto":
-        method = "gram" if d <= GRAM_MAX_D else "pass"
     beta = [float(v) for v in (beta0 if beta0 is not None else [0.0] * d)]
     if method == "gram":
         st = gram_statistics(data, d, x, y)
         if st["n"] == 0:
             return beta, 0.0, 0
-        fobj = lambda bt: _objective_from_stats(st, bt, lam)
         fgrad = lambda bt: _gradient_from_stats(st, bt, lam)
     elif method == "pass":
         data = data.select(x, y).persist()
-        fobj = lambda bt: ridge_objective(data, bt, lam, x, y).first()["objective"]
 
         def fgrad(bt):
             rows = ridge_gradient(data, bt, lam, x, y).collect()
@@ -205,8 +192,9 @@ def ridge_train(data: DataFrame, lam: float = 0.0, max_iter: int = 100, eps: flo
     k = 0
     while k < max_iter and gnorm > eps:
         if method == "gram":
-            f0 = fobj(beta)
-            t = _backtrack(lambda s: fobj([p - s * q for p, q in zip(beta, g)]), f0, _dot(g, g))
+            # F(beta - s g) - F(beta) in closed form: no difference of large sums
+            curve = _dot(g, _matvec(st["xtx"], g)) / st["n"] + lam * _dot(g, g)
+            t = _backtrack(lambda s: s * s * curve - s * _dot(g, g), 0.0, _dot(g, g))
         else:
             t = ridge_line_search(data, beta, g, lam, x, y)
         beta = [p - t * q for p, q in zip(beta, g)]
@@ -219,7 +207,7 @@ def ridge_train(data: DataFrame, lam: float = 0.0, max_iter: int = 100, eps: flo
 
 
 def ridge_train_df(data: DataFrame, lam: float = 0.0, max_iter: int = 100, eps: float = 0.01,
-                   method: str = "auto", x: str = "x", y: str = "y") -> DataFrame:
+                   method: str = "gram", x: str = "x", y: str = "y") -> DataFrame:
     """R5 as a DataFrame: (idx, beta, grad_norm, iterations)."""
     beta, gnorm, k = ridge_train(data, lam, max_iter, eps, method=method, x=x, y=y)
     return data.sparkSession.createDataFrame(

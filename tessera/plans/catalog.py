@@ -239,6 +239,12 @@ def q_item_similarity(spark, d):
     return C.item_similarity(train).select("i", "j", r6(F.col("sim")).alias("sim"))
 
 
+@query("item_similarity_lines")
+def q_item_similarity_lines(spark, d):
+    """Item similarity over order lines as they are, repeated pairs included."""
+    return C.item_similarity(S.rating_lines(spark, d)).select("i", "j", r6(F.col("sim")).alias("sim"))
+
+
 @query("item_cf_recommend")
 def q_item_cf_recommend(spark, d):
     _, _, recs = _item_recs(spark, d)

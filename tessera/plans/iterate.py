@@ -18,36 +18,8 @@ from tessera.session import ensure_checkpoint_dir
 def checkpoint(df: DataFrame) -> DataFrame:
     """Materialise ``df`` into the shared checkpoint folder and cut its lineage.
 
-    The returned DataFrame keeps the output partitioning of ``df``, so a table
-    hash-partitioned before the checkpoint is still seen as partitioned by the
-    planner afterwards (no extra exchange in later joins on the same key).
+    Under AQE the planner does not know the partitioning of the result: a later
+    join shuffles it as a plain read, which also lets AQE split its hot keys.
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-class RoundState:
-    """Holds the current state DataFrame of an iteration.
-
-    ``advance`` installs the next round's state.  Every ``every`` rounds the new
-    state is checkpointed; otherwise it is persisted.  The previous round is
-    released only after the new one has been materialised, so a failure in the
-    middle of a round never leaves the loop without a usable state.
-    """
-
-    def __init__(self, df: DataFrame, every: int = 1):
-        self.every = max(1, every)
-        self.round = 0
-        self.df = checkpoint(df)
-
-    def advance(self, nxt: DataFrame) -> DataFrame:
-        self.round += 1
-        prev = self.df
-        if self.round % self.every == 0:
-            self.df = checkpoint(nxt)
-        else:
-            self.df = nxt.persist()
-            self.df.count()
-        if prev.is_cached:
-            prev.unpersist()
-        return self.df

@@ -444,6 +444,15 @@ def _():
     return f"WITH {ITEM_SIM} SELECT i, j, round(sim, 6) AS sim FROM sim_i"
 
 
+@sql("item_similarity_lines")
+def _():
+    return """WITH have AS (
+  SELECT DISTINCT o.o_custkey AS u, l.l_partkey AS m FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+n AS (SELECT m, count(*) AS n FROM have GROUP BY m),
+co AS (SELECT x.m AS i, y.m AS j, count(*) AS co FROM have x JOIN have y ON x.u = y.u AND x.m <> y.m GROUP BY 1, 2)
+SELECT i, j, round(co / sqrt(a.n * b.n), 6) AS sim FROM co JOIN n a ON a.m = i JOIN n b ON b.m = j"""
+
+
 @sql("item_cf_recommend")
 def _():
     return f'WITH {item_recs_sql()} SELECT "user", item, round(score, 6) AS score, rank FROM recs'

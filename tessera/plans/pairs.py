@@ -19,32 +19,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.plans.iterate import checkpoint
+
 # Members per hash block of a group; block^2 pairs per (group, block, block) key.
 # A session can override it with the setting ``tessera.pairs.block``.
 PAIR_BLOCK = 4096
 
 
 def pairs_within_groups(df: DataFrame, group: str, member: str, block: int | None = None,
-                        left: str = "a", right: str = "b") -> DataFrame:
+                        left: str = "a", right: str = "b", carry: tuple[str, ...] = ()) -> DataFrame:
     """(group, a, b) for every pair of distinct members a < b of the same group.
 
-    ``df`` must hold each (group, member) once.
+    ``df`` must hold each (group, member) once.  Columns named in ``carry``
+    come along from both sides, as ``<name>_l`` and ``<name>_r``.  Only groups
+    of more than one block are listed (at most rows / block of them) and looked
+    up, from a written table, so no join here holds a hot group in one task.
     """
     if block is None:
         block = int(df.sparkSession.conf.get("tessera.pairs.block", str(PAIR_BLOCK)))
-    sizes = df.groupBy(group).agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(float(block))).cast("int").alias("_s"))
-    rows = (df.join(sizes, group)
-            .select(group, member, "_s",
-                    F.pmod(F.xxhash64(member), F.col("_s")).cast("int").alias("_blk")))
+    heavy = checkpoint(df.groupBy(group).agg(F.count(F.lit(1)).alias("_m")).where(F.col("_m") > block)
+                       .select(group, F.ceil(F.col("_m") / F.lit(float(block))).cast("int").alias("_s")))
+    rows = (df.join(heavy, group, "left").withColumn("_s", F.coalesce("_s", F.lit(1)))
+            .withColumn("_blk", F.pmod(F.xxhash64(member), F.col("_s")).cast("int")))
     fan = F.explode(F.sequence(F.lit(0), F.col("_s") - 1))
-    lhs = rows.select(group, F.col(member).alias(left), F.col("_blk").alias("_lb"),
-                      fan.alias("_rb"))
-    rhs = rows.select(group, F.col(member).alias(right), F.col("_blk").alias("_rb"),
-                      fan.alias("_lb"))
+    lhs = rows.select(group, F.col(member).alias(left), *[F.col(c).alias(f"{c}_l") for c in carry],
+                      F.col("_blk").alias("_lb"), fan.alias("_rb"))
+    rhs = rows.select(group, F.col(member).alias(right), *[F.col(c).alias(f"{c}_r") for c in carry],
+                      F.col("_blk").alias("_rb"), fan.alias("_lb"))
     return (lhs.join(rhs, [group, "_lb", "_rb"])
             .where(F.col(left) < F.col(right))
-            .select(group, left, right))
+            .select(group, left, right, *[f"{c}_{side}" for c in carry for side in "lr"]))
 
 
 def top_k_per_group(df: DataFrame, group: str | list[str], order: list, k: int,

@@ -29,22 +29,22 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- ratings
-def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One explicit rating per (customer, part): avg quantity over their lines."""
+def rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user, item, rating) of every line: customer, part and quantity, with
+    a row for each time the customer bought the part."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return (li.join(od, li.l_orderkey == od.o_orderkey)
-            .groupBy(F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item"))
-            .agg(F.avg("l_quantity").alias("rating")))
+    return li.join(od, li.l_orderkey == od.o_orderkey).select(
+        F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item"), F.col("l_quantity").alias("rating"))
 
 
-def split_key(user: str = "user", item: str = "item"):
-    return F.concat(F.col(user).cast("string"), F.lit("|"), F.col(item).cast("string"))
+def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One explicit rating per (customer, part): avg quantity over their lines."""
+    return rating_lines(spark, sf_dir).groupBy("user", "item").agg(F.avg("rating").alias("rating"))
 
 
-def with_fold(df: DataFrame, k: int, user: str = "user", item: str = "item") -> DataFrame:
-    """Append a reproducible fold number in [0, k) from md5(user|item)."""
-    return df.withColumn("fold", hash_bucket(split_key(user, item), k))
+def split_key(user: str = "user", item: str = "item"):
+    return F.concat(F.col(user).cast("string"), F.lit("|"), F.col(item).cast("string"))
 
 
 # ---------------------------------------------------------------- graphs

@@ -64,6 +64,21 @@ def test_item_cf_matches_brute_force(spark):
     assert {u: v for u, v in got_recs.items()} == {u: v for u, v in recs_want.items() if v}
 
 
+def test_repeated_ratings_count_once(spark):
+    # repeats with the same and with lower ratings change nothing; equal user sets give 1
+    repeats = RATINGS + [(1, 10, 5.0), (1, 10, 2.0), (3, 13, 1.0), (4, 13, 3.0)]
+    once, more = (spark.createDataFrame(r, "user BIGINT, item BIGINT, rating DOUBLE") for r in (RATINGS, repeats))
+
+    def all_of(df):
+        sim = C.item_similarity(df)
+        return [sorted(tuple(r) for r in x.collect()) for x in (
+            C.item_popularity(df), sim, C.user_similarity(df), C.item_cf_recommend(df, sim, k=2, n=2),
+            C.item_cf_recommend_per_rating(df, sim, k=2, n=2))]
+    assert all_of(more) == all_of(once)
+    same = spark.createDataFrame([(1, 1, 1.0), (1, 1, 1.0), (1, 2, 1.0)], "user BIGINT, item BIGINT, rating DOUBLE")
+    assert {r.sim for r in C.item_similarity(same).collect()} == {1.0}
+
+
 def test_precision_recall_counts(spark):
     recs = spark.createDataFrame([(1, 10), (1, 11), (2, 12)], "user BIGINT, item BIGINT")
     train = spark.createDataFrame([(1, 1, 1.0), (2, 1, 1.0), (3, 1, 1.0)],
