@@ -23,3 +23,22 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def checkpoint_keyed(df: DataFrame, parts: int, *keys: str) -> DataFrame:
+    """Checkpoint ``df`` hash-partitioned by ``keys``, in a way later joins see.
+
+    Adaptive execution reports no partitioning for what it plans, so it is off
+    for this one write (and restored whatever happens); joins on ``keys`` then
+    move only their other side, to the same ``parts`` partitions.  Such a
+    partition can no longer be split at run time: salt hot keys before.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    setting = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        return df.repartition(parts, *keys).checkpoint(eager=True)
+    finally:
+        spark.conf.set(setting, before)
