@@ -54,7 +54,7 @@ from tessera.llm.common import id_remainder, map_rows, stage, stage_dir, text_or
 
 ORDER = 2
 TRUSTED = 5
-PART = 1 << 22  # tokens of a bundle, unless one text is longer
+PART = 1 << 21  # tokens of a bundle, unless one text is longer
 _START = np.uint64(0x51A7)
 _END = np.uint64(0xE4D)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
