@@ -4,8 +4,8 @@ A worklist holds layers: the text itself, then whatever unwraps from it.  URL
 and Unicode escapes are decoded over the whole layer; base64 runs are decoded
 one by one, and bytes that are gzip, zlib, bzip2, xz or zstd streams are
 inflated.  Each new layer is scanned and unwrapped again until nothing new
-appears.  A set of layers already seen ends cycles (a layer that decodes to
-itself or to an ancestor).  Each layer carries, per character, the code point
+appears.  A set of layers already seen, each with the interval it stands for,
+ends cycles (a layer that decodes to itself or to an ancestor).  Each layer carries, per character, the code point
 interval of the original text it came from, so every span found inside maps
 back to the outermost text.  Spans of the text itself are never removed.
 
@@ -179,11 +179,14 @@ def find_spans(text: str) -> tuple[list[tuple[str, int, int]], set[tuple[str, in
     """(base matches of the text, all spans over all layers, bombs met)."""
     base = scan(text)
     spans = set(base)
-    work, seen, bombs = [_Layer(text)], {text}, 0
+    work, seen, bombs = [_Layer(text)], set(), 0
 
     def push(layer):
-        if layer is not None and layer.text not in seen:
-            seen.add(layer.text)
+        if layer is None:
+            return
+        key = (layer.text, *layer.span(0, len(layer.text)))  # an equal text from another run has spans of its own
+        if key not in seen:
+            seen.add(key)
             work.append(layer)
 
     first = True

@@ -63,6 +63,15 @@ def test_every_layer_is_unwrapped_and_mapped():
         assert run not in S.redact(text) and S.redact(text).startswith("é see <")
 
 
+def test_equal_layers_keep_every_span():
+    once = base64.b64encode(b"password = hunter2hunter2").decode()
+    twice = base64.b64encode(once.encode()).decode()
+    text = f"<{once}> <{once}>\n<{twice}> <{twice}>"
+    spans = S.find_spans(text)[1]
+    assert {(m.start(), m.end()) for m in re.finditer("[A-Za-z0-9+/=]{16,}", text)} <= {(s, e) for _, s, e in spans}
+    assert S.redact(text) == "<[SECRET]> <[SECRET]>\n<[SECRET]> <[SECRET]>"
+
+
 def test_escapes_map_exactly():
     text = "pass%77ord=abcdefgh tail"
     assert S.find_spans(text)[1] == {("assign", 0, 19)}
