@@ -2,8 +2,9 @@
 
 A worklist holds layers: the text itself, then whatever unwraps from it.  URL
 and Unicode escapes are decoded over the whole layer; base64 runs are decoded
-one by one, and bytes that are gzip, zlib, bzip2, xz or zstd streams are
-inflated.  Each new layer is scanned and unwrapped again until nothing new
+one by one, and gzip, zlib, bzip2, xz or zstd streams (all members) anywhere in
+the bytes of a decoded layer are inflated.  Bytes that are not UTF-8 stay in the
+layer as lone surrogates, so one of them costs no other match.  Each new layer is scanned and unwrapped again until nothing new
 appears.  A set of layers already seen, each with the interval it stands for,
 ends cycles (a layer that decodes to itself or to an ancestor).  Each layer carries, per character, the code point
 interval of the original text it came from, so every span found inside maps
@@ -11,9 +12,10 @@ back to the outermost text.  Spans of the text itself are never removed.
 
 Defined cases: a null text counts as empty; no match gives the SHA-256 of the
 empty string and an empty ``spans``; texts are scanned whole; a decoded stream
-may hold at most ``MAX_INFLATED`` bytes (a larger one is a decompression bomb:
-its layer is not scanned and ``n_bombs`` counts it); repeated rows are scanned
-each; further columns are ignored.
+beyond ``MAX_INFLATED`` bytes is counted by ``n_bombs`` and scanned in slices cut
+where no pattern can match (a further compressed stream inside it is followed
+to the end of its slice); repeated rows are scanned each; further columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -46,6 +48,15 @@ _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _HEX4 = re.compile(r"[0-9A-Fa-f]{4}")
 _HEX2 = re.compile(r"[0-9A-Fa-f]{2}")
+#: The two bytes that may begin a zlib stream without a preset dictionary.
+_ZLIB = {bytes((c, f)) for c in range(0x08, 0x80, 0x10) for f in range(256) if not f & 32 and (c * 256 + f) % 31 == 0}
+_MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|" + b"|".join(map(re.escape, sorted(_ZLIB))),
+                    re.DOTALL)
+#: Bytes that are part of no pattern, escape or base64 run.
+_BREAK = re.compile(rb"[\x00-\x08\x0b\x0c\x0e-\x1f!$()*,<>?@\[\]^`{|}~\x7f]")
+_ZSTD = type(zstandard.ZstdDecompressor().decompressobj())
+_POINTS = {0xDC00 + i: i for i in range(128, 256)}
+_IN, _OUT, _SLICE = 1 << 16, 1 << 20, 16 << 20
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
@@ -60,28 +71,37 @@ def scan(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def _percent(run: str) -> str | None:
-    raw = bytes.fromhex(run.replace("%", ""))
-    try:
-        return raw.decode()
-    except UnicodeDecodeError:
-        return None
+def _percent(run: str) -> str:
+    return _text(bytes.fromhex(run.replace("%", "")))
+
+
+def _text(raw: bytes) -> str:
+    """Bytes as text; one that is not UTF-8 becomes a lone surrogate, which no pattern matches."""
+    return raw.decode("utf-8", "surrogateescape")
 
 
 def _escape(run: str) -> str | None:
     try:
         if run.startswith(("\\u", "%u")):
             units = b"".join(int(x, 16).to_bytes(2, "big") for x in _HEX4.findall(run.replace("%u", "\\u")))
-            return units.decode("utf-16-be")
+            return units.decode("utf-16-be", "replace")
         if run.startswith("\\U"):
             return chr(int(run[2:], 16)).encode().decode()
         if run.startswith("\\x"):
-            return bytes(int(x, 16) for x in _HEX2.findall(run)).decode()
+            return _text(bytes(int(x, 16) for x in _HEX2.findall(run)))
         return chr(int(run[3:-1], 16) if run[2] in "xX" else int(run[2:-1])).encode().decode()
     except (UnicodeError, ValueError, OverflowError):
         return None
 
 
+def _widths(text: str) -> np.ndarray:
+    """The byte at which every character of a text starts, and the end."""
+    point = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    size = 1 + (point > 0x7F) + (point > 0x7FF) + (point > 0xFFFF)
+    size[(point >= 0xDC80) & (point <= 0xDCFF)] = 1
+    return np.concatenate([[0], np.cumsum(size)])
+
+
 class _Layer:
     """A text and, per character, the original interval it stands for;
     ``starts`` None: the original itself; an int pair: all of one interval."""
@@ -128,66 +148,142 @@ class _Layer:
             lo, hi = self.starts[lo], self.ends[np.maximum(hi - 1, 0)]
         return _Layer(text, lo, hi)
 
-
-def _inflate(raw: bytes) -> bytes | None:
-    """The stream inside compressed bytes, or None if they are not compressed;
-    raises OverflowError beyond ``MAX_INFLATED``."""
-    try:
-        if raw[:2] == b"\x1f\x8b":
-            d = zlib.decompressobj(31)
-        elif raw[:1] == b"\x78" and len(raw) > 1 and (raw[0] * 256 + raw[1]) % 31 == 0:
-            d = zlib.decompressobj()
-        elif raw[:3] == b"BZh":
-            d = bz2.BZ2Decompressor()
-        elif raw[:6] == b"\xfd7zXZ\x00":
-            d = lzma.LZMADecompressor()
-        elif raw[:4] == b"\x28\xb5\x2f\xfd":
-            reader = zstandard.ZstdDecompressor().stream_reader(raw)
-            out = reader.read(MAX_INFLATED + 1)
-            if len(out) > MAX_INFLATED:
-                raise OverflowError
-            return out
-        else:
-            return None
-        out = d.decompress(raw, MAX_INFLATED + 1)
-        if len(out) > MAX_INFLATED:
-            raise OverflowError
-        return out
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError):
-        return None
+    def streams(self, memo: dict, above: tuple):
+        """(interval, kinds, bombs) of every compressed stream among the bytes this layer stands for."""
+        raw = self.text.encode("utf-8", "surrogateescape")
+        for s, e, kinds, bombs in _streams(raw, memo, above):
+            at = np.searchsorted(_widths(self.text), [s, e])
+            yield self.span(int(at[0]), max(int(at[0]) + 1, int(at[1]))), kinds, bombs
+        if any("\x80" <= c <= "\xff" for c in set(self.text)):  # code points that stand for bytes
+            code = self.text.translate(_POINTS).encode("latin-1", "replace")
+            for s, e, kinds, bombs in _streams(code, memo, above):
+                yield self.span(s, e), kinds, bombs
+
+
+class _Members:
+    """The members or frames at ``at``, one after the other, as chunks of
+    output; ``end`` is then the place after the last one that gave any."""
+
+    def __init__(self, raw: bytes, at: int):
+        self.raw, self.end = memoryview(raw), at
+
+    def __iter__(self):
+        try:
+            while (d := _decoder(bytes(self.raw[self.end:self.end + 6]))) is not None:
+                # a zstd object takes no limit of output: its input is kept short
+                step, most = (_IN, (_OUT,)) if not isinstance(d, _ZSTD) else (256, ())
+                at, data = self.end, b""
+                while not d.eof:
+                    if not data and getattr(d, "needs_input", True):
+                        data = self.raw[at:at + step]
+                        at += len(data)
+                        if not data:  # a cut stream: what it held so far counts
+                            self.end = at
+                            if hasattr(d, "flush") and (out := d.flush()):
+                                yield out
+                            return
+                    out = d.decompress(data, *most)
+                    data = getattr(d, "unconsumed_tail", b"")
+                    if out:
+                        self.end = max(self.end, at - len(data))
+                        yield out
+                self.end = at - len(d.unused_data)
+        except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError):
+            return
 
 
-def _readable(raw: bytes) -> str | None:
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text.translate({9: 32, 10: 32, 13: 32}).isprintable() else None
+def _decoder(head: bytes):
+    if head[:3] == b"\x1f\x8b\x08":
+        return zlib.decompressobj(31)
+    if head[:2] in _ZLIB:
+        return zlib.decompressobj()
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if head == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    if head[:4] == b"\x28\xb5\x2f\xfd":
+        return zstandard.ZstdDecompressor().decompressobj()
+    return None
+
+
+def _streams(raw: bytes, memo: dict, above: tuple):
+    """(start, end, kinds of secrets inside, bombs) of every compressed stream in ``raw``."""
+    found, at = memo.get(raw), 0
+    if found is None:
+        found = []
+        while (m := _MAGIC.search(raw, at)) is not None:
+            members = _Members(raw, m.start())
+            kinds, bombs = _inside(members, memo, above)
+            if kinds or bombs:
+                found.append((m.start(), members.end, kinds, bombs))
+                at = max(members.end, m.start() + 1)
+            else:
+                at = m.start() + 1
+        if at and None not in memo:
+            memo[raw] = found
+    return found
 
 
-def _base64_bytes(run: str) -> bytes | None:
+def _inside(members: _Members, memo: dict, above: tuple) -> tuple[frozenset, int]:
+    """The kinds of secrets in a stream, at any depth, and the bombs in it.  A
+    stream beyond ``MAX_INFLATED`` is scanned in slices cut where no pattern can match."""
+    kinds, bombs, kept, total = set(), 0, bytearray(), 0
+
+    def look(part: bytes):
+        nonlocal bombs
+        if part in above:  # a stream that holds itself adds nothing
+            memo[None] = True  # what is found below is not the whole of each stream: no longer kept
+        elif part:
+            chain = (*above, part)
+            inner, deeper = _find(_text(part), memo, chain)[1:]
+            kinds.update(k for k, _, _ in inner)
+            bombs += deeper
+            for _, _, k, n in _streams(part, memo, chain):
+                kinds.update(k)
+                bombs += n
+
+    for out in members:
+        total += len(out)
+        kept += out
+        if total > MAX_INFLATED and len(kept) >= _SLICE:
+            cut = next((m.end() for m in _BREAK.finditer(kept, max(0, len(kept) - _OUT))), 0)
+            if cut:
+                part, kept = bytes(kept[:cut]), kept[cut:]
+                look(part.rstrip(b"\0"))
+    look(bytes(kept))
+    return frozenset(kinds), bombs + (total > MAX_INFLATED)
+
+
+def _base64_bytes(run: str) -> bytes:
     body = run.rstrip("=")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
-    except (binascii.Error, ValueError):
-        return None
+    body = body[:len(body) - (len(body) % 4 == 1)]
+    return base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
 
 
 def find_spans(text: str) -> tuple[list[tuple[str, int, int]], set[tuple[str, int, int]], int]:
     """(base matches of the text, all spans over all layers, bombs met)."""
+    return _find(text, {}, ())
+
+
+def _find(text: str, memo: dict, above: tuple):
     base = scan(text)
     spans = set(base)
     work, seen, bombs = [_Layer(text)], set(), 0
 
     def push(layer):
-        if layer is None:
-            return
+        if layer is None or not layer.text:
+            return False
         key = (layer.text, *layer.span(0, len(layer.text)))  # an equal text from another run has spans of its own
-        if key not in seen:
-            seen.add(key)
-            work.append(layer)
+        if key in seen:
+            return False
+        seen.add(key)
+        work.append(layer)
+        return True
+
+    def add(interval, kinds, n):
+        nonlocal bombs
+        spans.update((k, *interval) for k in kinds)
+        bombs += n
 
     first = True
     while work:
@@ -195,25 +291,16 @@ def find_spans(text: str) -> tuple[list[tuple[str, int, int]], set[tuple[str, in
         if not first:
             spans.update((k, *layer.span(s, e)) for k, s, e in scan(layer.text))
         first = False
-        if "%" in layer.text:
-            push(layer.unescaped(_PERCENT, _percent))
-        if "\\" in layer.text or "%u" in layer.text or "&#" in layer.text:
-            push(layer.unescaped(_ESCAPE, _escape))
+        for marks, pattern, decode in ((("%",), _PERCENT, _percent), (("\\", "%u", "&#"), _ESCAPE, _escape)):
+            if any(m in layer.text for m in marks) and push(inner := layer.unescaped(pattern, decode)):
+                for found in inner.streams(memo, above):
+                    add(*found)
         for m in _BASE64.finditer(layer.text):
             raw = _base64_bytes(m[0])
-            if raw is None:
-                continue
-            streams = set()  # inflating ends when a stream comes back
-            try:
-                while (inner := _inflate(raw)) is not None and inner not in streams:
-                    streams.add(inner)
-                    raw = inner
-            except OverflowError:
-                bombs += 1
-                continue
-            out = _readable(raw)
-            if out:
-                push(_Layer(out, *layer.span(m.start(), m.end())))
+            whole = layer.span(m.start(), m.end())
+            for _, _, kinds, n in _streams(raw, memo, above):
+                add(whole, kinds, n)
+            push(_Layer(_text(raw), *whole))
     return base, spans, bombs
 
 

@@ -2,10 +2,13 @@ import base64
 import bz2
 import gzip
 import hashlib
+import lzma
 import re
 import zlib
 from urllib.parse import quote
 
+import zstandard
+
 import __spark_entry__ as E
 from tessera.llm import secret_scan as S
 from llm_helpers import AWKWARD, clash, frame, texts_of
@@ -72,6 +75,47 @@ def test_equal_layers_keep_every_span():
     assert S.redact(text) == "<[SECRET]> <[SECRET]>\n<[SECRET]> <[SECRET]>"
 
 
+SECRET = b"password = hunter2hunter2"
+
+
+def test_odd_bytes_cost_no_other_match():
+    for odd in ("\u00a0", "\u3000", "\u200b", "\ufeff", "\f", "\0"):
+        run = base64.b64encode(SECRET + odd.encode()).decode()
+        assert S.redact(f"<{run}>") == "<[SECRET]>", ascii(odd)
+    for raw in (b"\xff " + SECRET, SECRET + b" \xc3", b"caf\xe9 " + SECRET):
+        assert S.redact(f"<{base64.b64encode(raw).decode()}>") == "<[SECRET]>"
+        assert S.redact(f"<{base64.b64encode(gzip.compress(raw)).decode()}>") == "<[SECRET]>"
+        assert {k for k, _, _ in S.find_spans("".join(f"%{b:02X}" for b in raw))[1]} == {"assign"}
+        assert {k for k, _, _ in S.find_spans("".join(f"\\x{b:02x}" for b in raw))[1]} == {"assign"}
+    assert S.find_spans("".join(f"\\u{ord(c):04x}" for c in SECRET.decode()) + "\\ud800")[1]
+
+
+def test_every_member_is_read():
+    for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress):
+        for raw in (pack(b"nothing here ") + pack(SECRET), pack(b"pass") + pack(b"word=hunter2hunter2"),
+                    pack(b"\0\xff" + pack(SECRET))):
+            assert S.redact(f"<{base64.b64encode(raw).decode()}>") == "<[SECRET]>", pack
+
+
+def test_streams_in_escapes_are_inflated():
+    for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress):
+        raw = pack(SECRET)
+        for run in ("".join(f"%{b:02x}" for b in raw), "".join(f"\\x{b:02x}" for b in raw), quote(raw, safe=""),
+                    "".join(f"\\u{b:04x}" for b in raw), "".join(f"&#{b};" for b in raw)):
+            assert {k for k, _, _ in S.find_spans(f"<{run}>")[1]} == {"assign"}, (pack, run)
+            assert run not in S.redact(f"<{run}>") and S.redact(f"<{run}>").startswith("<[SECRET]")
+
+
+def test_large_streams_are_scanned(monkeypatch):
+    monkeypatch.setattr(S, "MAX_INFLATED", 3000)
+    monkeypatch.setattr(S, "_SLICE", 1000)
+    monkeypatch.setattr(S, "_OUT", 100)
+    for before in range(2950, 4050, 7):
+        raw = b"a word, " * (before // 8) + b"." * (before % 8) + SECRET + b", a word" * 500
+        spans, bombs = S.find_spans(f"<{base64.b64encode(gzip.compress(raw)).decode()}>")[1:]
+        assert {k for k, _, _ in spans} == {"assign"} and bombs == 1
+
+
 def test_escapes_map_exactly():
     text = "pass%77ord=abcdefgh tail"
     assert S.find_spans(text)[1] == {("assign", 0, 19)}
