@@ -1,8 +1,10 @@
 """Secret scans: base patterns on the text and on every layer encoded in it.
 
 A worklist holds layers: the text itself, then whatever unwraps from it.  URL
-and Unicode escapes are decoded over the whole layer; base64 runs are decoded
-one by one, and gzip, zlib, bzip2, xz or zstd streams (all members) anywhere in
+and Unicode escapes are decoded over the whole layer; base64 runs, joined over
+line breaks, are decoded at all four alignments (a line that is text as a whole
+stands for itself; else a match is told as the longest stretch of text around it
+that starts and ends with the run, a line or one of ``+/-_``), and gzip, zlib, bzip2, xz or zstd streams (all members) anywhere in
 the bytes of a decoded layer are inflated.  Bytes that are not UTF-8 stay in the
 layer as lone surrogates, so one of them costs no other match.  Each new layer is scanned and unwrapped again until nothing new
 appears.  A set of layers already seen, each with the interval it stands for,
@@ -21,9 +23,11 @@ ignored.
 from __future__ import annotations
 
 import base64
-import binascii
+import bisect
 import bz2
+import functools
 import hashlib
+import itertools
 import lzma
 import re
 import zlib
@@ -46,6 +50,11 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+|(?:%u[0-9A-Fa-f]{4})+|&#x[0-9A-Fa-f]{1,6};|&#[0-9]{1,7};")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Runs, joined over line breaks; in a run of one line at least 16 characters.
+_JOINED = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{16,}+(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)*+"
+                     r"|[A-Za-z0-9+/_-]++(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++)={0,2}")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+_DELIMITER = re.compile(r"[+/_-]")
 _HEX4 = re.compile(r"[0-9A-Fa-f]{4}")
 _HEX2 = re.compile(r"[0-9A-Fa-f]{2}")
 #: The two bytes that may begin a zlib stream without a preset dictionary.
@@ -55,6 +64,8 @@ _MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|" + b
 #: Bytes that are part of no pattern, escape or base64 run.
 _BREAK = re.compile(rb"[\x00-\x08\x0b\x0c\x0e-\x1f!$()*,<>?@\[\]^`{|}~\x7f]")
 _ZSTD = type(zstandard.ZstdDecompressor().decompressobj())
+#: Characters that text does not hold: control characters, and bytes that are not UTF-8.
+_ODD = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f\udc80-\udcff]")
 _POINTS = {0xDC00 + i: i for i in range(128, 256)}
 _IN, _OUT, _SLICE = 1 << 16, 1 << 20, 16 << 20
 
@@ -103,19 +114,28 @@ def _widths(text: str) -> np.ndarray:
 
 
 class _Layer:
-    """A text and, per character, the original interval it stands for;
-    ``starts`` None: the original itself; an int pair: all of one interval."""
+    """A text and, per character, the interval it stands for (``starts`` None:
+    the character itself) in the original, or in what ``parent`` places there.
+    ``sure``: no part of it was decoded from a guessed start."""
 
-    def __init__(self, text, starts=None, ends=None):
-        self.text, self.starts, self.ends = text, starts, ends
+    def __init__(self, text, starts=None, ends=None, parent=None, sure=True):
+        self.text, self.starts, self.ends, self.parent, self.sure = text, starts, ends, parent, sure
 
-    def span(self, s: int, e: int) -> tuple[int, int]:
+    def _inner(self, s: int, e: int) -> tuple[int, int]:
         if self.starts is None:
             return s, e
-        if isinstance(self.starts, int):
-            return self.starts, self.ends
         return int(self.starts[s:e].min()), int(self.ends[s:e].max())
 
+    def span(self, s: int, e: int) -> tuple[int, int]:
+        """The original interval that a match here is told as."""
+        inner = self._inner(s, e)
+        return self.parent.span(*inner) if self.parent else inner
+
+    def exact(self, s: int, e: int) -> tuple[int, int]:
+        """The original interval of just these characters."""
+        inner = self._inner(s, e)
+        return self.parent.exact(*inner) if self.parent else inner
+
     def unescaped(self, pattern: re.Pattern, decode) -> "_Layer | None":
         """This layer with every decodable run replaced, or None."""
         parts, lo, hi, at, changed = [], [], [], 0, False
@@ -141,12 +161,12 @@ class _Layer:
             return None
         copy(at, len(self.text))
         text = "".join(parts)
-        if isinstance(self.starts, int):
-            return _Layer(text, self.starts, self.ends)
+        if isinstance(self.parent, _Fixed):
+            return _Layer(text, None, None, self.parent, self.sure)
         lo, hi = np.concatenate(lo), np.concatenate(hi)
         if self.starts is not None:
             lo, hi = self.starts[lo], self.ends[np.maximum(hi - 1, 0)]
-        return _Layer(text, lo, hi)
+        return _Layer(text, lo, hi, self.parent, self.sure)
 
     def streams(self, memo: dict, above: tuple):
         """(interval, kinds, bombs) of every compressed stream among the bytes this layer stands for."""
@@ -160,6 +180,93 @@ class _Layer:
                 yield self.span(s, e), kinds, bombs
 
 
+class _Fixed:
+    """Parent of a layer that stands for one interval as a whole."""
+
+    def __init__(self, exact: tuple[int, int], span: tuple[int, int]):
+        self._exact, self._span = exact, span
+
+    def exact(self, s: int, e: int) -> tuple[int, int]:
+        return self._exact
+
+    def span(self, s: int, e: int) -> tuple[int, int]:
+        return self._span
+
+
+class _Run:
+    """A base64 run, its lines joined: ``body`` without the breaks."""
+
+    def __init__(self, m: re.Match):
+        self.start, self.end = m.span()
+        lines = list(_LINE.finditer(m[0]))
+        self.body = "".join(x[0] for x in lines)
+        self.at = [self.start + x.start() for x in lines]  # each line's place, and where it starts in the body
+        self.line = [0, *itertools.accumulate(len(x[0]) for x in lines)]
+
+    def place(self, c: int) -> int:
+        """Where character ``c`` of the body stands."""
+        i = bisect.bisect_right(self.line, c, 0, len(self.at)) - 1
+        return self.at[i] + c - self.line[i]
+
+    @functools.cached_property
+    def cuts(self) -> np.ndarray:
+        """Places in the body after a delimiter or a line break."""
+        return np.array(sorted({m.end() for m in _DELIMITER.finditer(self.body)} | set(self.line[1:-1])), np.int64)
+
+    @functools.cached_property
+    def stops(self) -> np.ndarray:
+        """Places in the body before a delimiter or a line break."""
+        return np.array(sorted({m.start() for m in _DELIMITER.finditer(self.body)} | set(self.line[1:-1])), np.int64)
+
+
+class _Decoded:
+    """A run of ``layer`` decoded from character ``offset`` on."""
+
+    def __init__(self, layer: _Layer, run: _Run, offset: int):
+        self.layer, self.run, self.offset = layer, run, offset
+        self.raw = _base64_bytes(run.body[offset:])
+        self.text = _text(self.raw)
+
+    @functools.cached_property
+    def widths(self) -> np.ndarray:
+        return _widths(self.text)
+
+    @functools.cached_property
+    def odd(self) -> np.ndarray:
+        """Bytes that are no text: not UTF-8, or control characters."""
+        return self.widths[[m.start() for m in _ODD.finditer(self.text)]]
+
+    def place(self, s: int, e: int) -> tuple[int, int]:
+        """The interval of the run's characters that hold bytes ``s`` to ``e``."""
+        last = min(self.offset + (8 * e - 1) // 6, len(self.run.body) - 1)
+        return (self.run.place(self.offset + 8 * s // 6),
+                self.run.end if e == len(self.raw) else self.run.place(last) + 1)
+
+    def exact(self, s: int, e: int) -> tuple[int, int]:
+        return self.layer.exact(*self.place(int(self.widths[s]), int(self.widths[e])))
+
+    def span(self, s: int, e: int) -> tuple[int, int]:
+        """The longest stretch of text around a match that starts and ends with
+        the run, a line or a delimiter; odd bytes that no such place parts from
+        the match belong to it."""
+        s, e = int(self.widths[s]), int(self.widths[e])
+        run, o, odd = self.run, self.offset, self.odd
+        i, j = np.searchsorted(odd, [s, e])
+        low, high = (int(odd[i - 1]) + 1 if i else 0), (int(odd[j]) if j < len(odd) else len(self.raw))
+        start, end = o, len(run.body)
+        if low:
+            cut = run.cuts[(run.cuts >= o) & ((run.cuts - o) % 4 == 0)]
+            byte = (cut - o) // 4 * 3
+            cut = cut[(byte >= low) & (byte <= s)]
+            start = int(cut[0]) if len(cut) else o
+        if high < len(self.raw):
+            stop = run.stops[run.stops > o]
+            byte = (stop - o) * 3 // 4
+            stop = stop[(byte <= high) & (byte >= e)]
+            end = int(stop[-1]) if len(stop) else end
+        return self.layer.span(run.place(start), run.end if end == len(run.body) else run.place(end - 1) + 1)
+
+
 class _Members:
     """The members or frames at ``at``, one after the other, as chunks of
     output; ``end`` is then the place after the last one that gave any."""
@@ -254,8 +361,7 @@ def _inside(members: _Members, memo: dict, above: tuple) -> tuple[frozenset, int
     return frozenset(kinds), bombs + (total > MAX_INFLATED)
 
 
-def _base64_bytes(run: str) -> bytes:
-    body = run.rstrip("=")
+def _base64_bytes(body: str) -> bytes:
     body = body[:len(body) - (len(body) % 4 == 1)]
     return base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
 
@@ -273,7 +379,8 @@ def _find(text: str, memo: dict, above: tuple):
     def push(layer):
         if layer is None or not layer.text:
             return False
-        key = (layer.text, *layer.span(0, len(layer.text)))  # an equal text from another run has spans of its own
+        # an equal text from another run has spans of its own
+        key = (layer.text, *layer.exact(0, len(layer.text)), layer.sure)
         if key in seen:
             return False
         seen.add(key)
@@ -285,22 +392,45 @@ def _find(text: str, memo: dict, above: tuple):
         spans.update((k, *interval) for k in kinds)
         bombs += n
 
-    first = True
+    first, whole, guessed = True, {}, []
     while work:
         layer = work.pop()
-        if not first:
-            spans.update((k, *layer.span(s, e)) for k, s, e in scan(layer.text))
+        for k, s, e in () if first else scan(layer.text):
+            if not layer.sure:
+                guessed.append((k, layer, s, e))
+                continue
+            spans.add((k, *layer.span(s, e)))
+            if isinstance(layer.parent, _Fixed):
+                whole.setdefault(k, set()).add(layer.span(s, e))
         first = False
         for marks, pattern, decode in ((("%",), _PERCENT, _percent), (("\\", "%u", "&#"), _ESCAPE, _escape)):
             if any(m in layer.text for m in marks) and push(inner := layer.unescaped(pattern, decode)):
                 for found in inner.streams(memo, above):
                     add(*found)
-        for m in _BASE64.finditer(layer.text):
-            raw = _base64_bytes(m[0])
-            whole = layer.span(m.start(), m.end())
-            for _, _, kinds, n in _streams(raw, memo, above):
-                add(whole, kinds, n)
-            push(_Layer(_text(raw), *whole))
+        for m in _JOINED.finditer(layer.text):
+            run = _Run(m)
+            if len(run.body) < 16:
+                continue
+            clean = False
+            for p in _BASE64.finditer(layer.text, m.start(), m.end()):
+                body = p[0].rstrip("=")
+                out = _text(_base64_bytes(body)) if len(body) % 4 != 1 else ""
+                if out and not _ODD.search(out):  # a line that is text as a whole
+                    push(_Layer(out, None, None, _Fixed(layer.exact(*p.span()), layer.span(*p.span())), layer.sure))
+                    clean = clean or len(body) == len(run.body)
+            for offset in range(4):
+                inner = _Decoded(layer, run, offset)
+                for s, e, kinds, n in _streams(inner.raw, memo, above):
+                    add(layer.span(*inner.place(s, e)), kinds, n)
+                if offset or not clean:
+                    push(_Layer(inner.text, None, None, inner, False))
+    known = {k: sorted(v) for k, v in whole.items()}
+    reach = {k: list(itertools.accumulate((e for _, e in v), max)) for k, v in known.items()}
+    for k, layer, s, e in guessed:
+        lo, hi = layer.exact(s, e)
+        i = bisect.bisect_right(known.get(k, []), (lo, len(text) + 1))
+        if not i or reach[k][i - 1] < hi:  # else a line that is text as a whole has it
+            spans.add((k, *layer.span(s, e)))
     return base, spans, bombs
 
 

@@ -116,6 +116,30 @@ def test_large_streams_are_scanned(monkeypatch):
         assert {k for k, _, _ in spans} == {"assign"} and bombs == 1
 
 
+def test_payloads_behind_other_characters():
+    run = base64.urlsafe_b64encode(SECRET + b", and more").decode().rstrip("=")
+    packed = base64.b64encode(zlib.compress(SECRET)).decode()
+    for before in ("https://host.example/cb/", "key-", "id_", "a+", "x/y/", "x", "xy", "xyz", "a-longer-name_of-it/"):
+        for r in (run, packed):
+            for after in ("", " tail", "/next"):
+                out = S.redact(f"<{before}{r}{after}>")
+                assert "[SECRET]" in out and r.rstrip("=")[4:-4] not in out, (before, r, after)
+    assert S.redact(f"<https://host.example/callback/{run}>") == "<https://host.example/callback/[SECRET]>"
+    assert S.redact(f"<{run}A>") != f"<{run}A>" and S.redact(f"<{run}AA>") != f"<{run}AA>"
+
+
+def test_wrapped_runs_are_joined():
+    raw = b"some lines before it, " * 3 + SECRET + b" and after"
+    for pack in (bytes, gzip.compress, bz2.compress):
+        for width in (10, 22, 64, 76):
+            for newline in ("\n", "\r\n", "\n    "):
+                run = base64.b64encode(pack(raw)).decode()
+                body = newline.join(run[i:i + width] for i in range(0, len(run), width))
+                text = f"data:\n{body}\n.end"
+                kinds = {k for k, s, e in S.find_spans(text)[1] if 6 <= s < e <= 6 + len(body)}
+                assert kinds == {"assign"}, (pack, width, newline)
+
+
 def test_escapes_map_exactly():
     text = "pass%77ord=abcdefgh tail"
     assert S.find_spans(text)[1] == {("assign", 0, 19)}
