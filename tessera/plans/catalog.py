@@ -18,15 +18,21 @@ from tessera.session import ensure_checkpoint_dir
 from tessera.sources import tables as S
 
 QUERIES = {}
+#: Whole training runs, too long to be written out in SQL.
+WHOLE_JOBS = {}
 
 
-def query(name):
+def query(name, into=QUERIES):
     def deco(fn):
-        QUERIES[name] = fn
+        into[name] = fn
         return fn
     return deco
 
 
+def whole_job(name):
+    return query(name, WHOLE_JOBS)
+
+
 def r6(c):
     return F.round(c, 6)
 
@@ -500,12 +506,22 @@ def q_logistic_line_search(spark, d):
 def q_logistic_train(spark, d):
     """Train on 3/4 of the labelled documents (lambda 1, 10 steps, eps 0.01);
     report the held-out classification metrics."""
+    return _logistic_train(spark, d, max_iter=10, eps=0.01)
+
+
+@whole_job("logistic_train_full")
+def q_logistic_train_full(spark, d):
+    """``logistic_train`` with the operator's own limits (100 steps, eps 0.01)."""
+    return _logistic_train(spark, d)
+
+
+def _logistic_train(spark, d, **limits):
     x, y = _sparse(spark, d)
     is_test = hash_unit(F.col("row_id").cast("string")) < F.lit(0.25)
     ytr, yte = y.where(~is_test), y.where(is_test)
     xtr = x.join(ytr.select("row_id"), "row_id", "left_semi")
     xte = x.join(yte.select("row_id"), "row_id", "left_semi")
-    beta, gnorm, k, _ = L.logistic_train(xtr, ytr, lam=LOGIT_LAM, max_iter=10, eps=0.01)
+    beta, gnorm, k, _ = L.logistic_train(xtr, ytr, lam=LOGIT_LAM, **limits)
     m = L.classification_metrics(xte, yte, beta)
     return m.select("tp", "fp", "tn", "fn", r6(F.col("accuracy")).alias("accuracy"),
                     F.lit(k).alias("iterations"), F.lit(round(gnorm, 6)).alias("grad_norm"))
@@ -595,14 +611,34 @@ def q_mf_train(spark, d):
 @query("mf_cross_validate")
 def q_mf_cross_validate(spark, d):
     """5 folds by md5(user|item), 4 rounds each: held-out RMSE per fold."""
-    cv = M.mf_cross_validate(_mf_ratings(spark, d), folds=5, d=MF_D, maxiter=4, seed=MF_SEED)
+    return _mf_cross_validate(spark, d, maxiter=4)
+
+
+@whole_job("mf_cross_validate_full")
+def q_mf_cross_validate_full(spark, d):
+    """``mf_cross_validate`` with the operator's own limit (20 rounds)."""
+    return _mf_cross_validate(spark, d)
+
+
+def _mf_cross_validate(spark, d, **limits):
+    cv = M.mf_cross_validate(_mf_ratings(spark, d), folds=5, d=MF_D, seed=MF_SEED, **limits)
     return cv.select("fold", r6(F.col("test_rmse")).alias("test_rmse"))
 
 
 @query("mf_save_profiles")
 def q_mf_save_profiles(spark, d):
     """Train 3 rounds on all ratings, save U and V as parquet, read them back."""
-    U, V, _ = M.mf_train(_mf_ratings(spark, d), d=MF_D, maxiter=3, seed=MF_SEED)
+    return _mf_save_profiles(spark, d, maxiter=3)
+
+
+@whole_job("mf_save_profiles_full")
+def q_mf_save_profiles_full(spark, d):
+    """``mf_save_profiles`` with the operator's own limit (20 rounds)."""
+    return _mf_save_profiles(spark, d)
+
+
+def _mf_save_profiles(spark, d, **limits):
+    U, V, _ = M.mf_train(_mf_ratings(spark, d), d=MF_D, seed=MF_SEED, **limits)
     base = os.path.join(ensure_checkpoint_dir(spark), f"profiles-{uuid.uuid4().hex}")
     IO.save_profiles(U, base + "_U")
     IO.save_profiles(V, base + "_V")
