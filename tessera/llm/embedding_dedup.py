@@ -14,7 +14,9 @@ precision.
 
 Equal vectors of a label are one row with a count.  A cell's links leave as
 link counts per home vector and a spanning forest, never as all pairs.  Cells
-with many homes are split (``deal_groups``).
+with very many homes are cut by the block's next coordinates, and those still
+large into tiles of a home block and a replica block, so what a task holds at
+once is bounded by ``BLOCK``, not by the cell.
 
 Defined cases: a vector that is null, zero, or holds null or non-finite
 components, or whose label is null, links with nothing; a zero-length vector
@@ -24,17 +26,24 @@ other vectors; further columns are ignored.
 
 from __future__ import annotations
 
+import functools
+import itertools
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import deal_groups, groups_of, map_rows, stage
+from tessera.llm.common import groups_of, map_rows, stage
 from tessera.llm.components import connected_components
 
 MIN_COSINE = 0.93
 BLOCK_DIMS = 8
 GRID_DIMS = 2
 BLOCK = 4096
+#: Rows of a replica block per row of a home block; home blocks from which a cell is cut by more coordinates.
+REPLICAS = 4
+FINER = 8
+_ROW = "cell string, home boolean, block int, cid string, n long, vec binary"
 TILE = 1024
 _ROUNDING = 1e-9  # room for rounding in the candidate search; the check is exact
 
@@ -69,7 +78,7 @@ def _cells(x: np.ndarray, radius: float):
         yield rows, cell[rows], not step.any()
 
 
-def _replicate(cosine: float, all_cells: bool):
+def _replicate(cosine: float, vectors: bool):
     def run(batches):
         for b in batches:
             by_size: dict[int, list[int]] = {}
@@ -81,19 +90,98 @@ def _replicate(cosine: float, all_cells: bool):
                 blocks, budget = _budgets(dims, cosine)
                 for k, block in enumerate(blocks):
                     for rows, cell, home in _cells(x[:, block], float(np.sqrt(budget[k]))):
-                        if not len(rows) or not (all_cells or home):
+                        if not len(rows):
                             continue
                         pick = [members[r] for r in rows]
                         names = [f"{b['label'][i]}|{dims}|{k}|" + ",".join(map(str, c))
                                  for i, c in zip(pick, cell.tolist())]
                         out = {"cell": names, "home": [home] * len(pick)}
-                        if all_cells:
+                        if vectors:
                             out |= {"block": [k] * len(pick), "cid": [b["cid"][i] for i in pick],
                                     "n": [b["n"][i] for i in pick], "vec": [b["vec"][i] for i in pick]}
                         yield out
     return run
 
 
+def _refine(cosine: float, done: int):
+    """Rows of cells over the first ``done`` coordinates, sent on to the cells
+    over the next ones too that their balls reach."""
+    def run(batches):
+        for b in batches:
+            by_kind: dict[tuple[int, int], list[int]] = {}
+            for i, (v, k) in enumerate(zip(b["vec"], b["block"])):
+                by_kind.setdefault((len(v), k), []).append(i)
+            for (size, k), members in by_kind.items():
+                dims = size // 8
+                blocks, budget = _budgets(dims, cosine)
+                x = (_units([b["vec"][i] for i in members]) @ rotation(dims))[:, blocks[k]]
+                g = min(done + GRID_DIMS, x.shape[1])
+                old = np.array([b["cell"][i].rsplit("|", 1)[1].split(",") for i in members], np.int64)
+                width = 2 * np.sqrt(budget[k])
+                base = np.floor(x[:, old.shape[1]:g] / width).astype(np.int64)
+                for step in itertools.product((-1, 0, 1), repeat=base.shape[1]):
+                    cell = np.concatenate([old, base + np.array(step, np.int64)], 1)
+                    gap = np.maximum(cell * width - x[:, :g], 0) + np.maximum(x[:, :g] - (cell + 1) * width, 0)
+                    rows = np.nonzero((gap * gap).sum(1) <= budget[k])[0]
+                    if not len(rows):
+                        continue
+                    pick = [members[r] for r in rows]
+                    yield {"cell": [",".join([b["cell"][i], *map(str, c[old.shape[1]:])])
+                                    for i, c in zip(pick, cell[rows].tolist())],
+                           "home": [b["home"][i] and not any(step) for i in pick], "block": [k] * len(pick),
+                           "cid": [b["cid"][i] for i in pick], "n": [b["n"][i] for i in pick],
+                           "vec": [b["vec"][i] for i in pick]}
+    return run
+
+
+def _tiles(rows: DataFrame, block: int) -> DataFrame:
+    """Rows with the tile (_h, _r) of their cell.  A cell of up to ``block``
+    home rows (``_homes``) and ``REPLICAS`` times that in all (``_rows``) is one
+    tile, where a home row is an ``other`` row as well.  A larger one has a tile
+    per home block and block of others; a home row goes to each tile of its home
+    block, and every row as an other to each tile of its block of others."""
+    whole = F.col("_rows").isNull()
+    h = F.ceil(F.col("_homes") / F.lit(float(block))).cast("int")
+    r = F.ceil(F.col("_rows") / F.lit(float(REPLICAS * block))).cast("int")
+
+    def tile(a, b, home, other):
+        return F.struct(a.cast("int").alias("_h"), b.cast("int").alias("_r"), home.alias("home"), other.alias("other"))
+
+    yes, no, zero = F.lit(True), F.lit(False), F.lit(0)
+    own_h, own_r = F.pmod(F.xxhash64("cid", F.lit(1)), h), F.pmod(F.xxhash64("cid", F.lit(2)), r)
+    as_home = F.transform(F.sequence(zero, r - 1), lambda i: tile(own_h, i, yes, no))
+    as_other = F.transform(F.sequence(zero, h - 1), lambda i: tile(i, own_r, no, yes))
+    to = (F.when(whole, F.array(tile(zero, zero, F.col("home"), yes)))
+          .when(F.col("home"), F.concat(as_home, as_other)).otherwise(as_other))
+    return (rows.where(whole | (F.col("_homes") > 0))  # without a home there is nothing to compare
+            .withColumn("_to", F.explode(to))
+            .select("key", "cell", "block", "cid", "n", "vec", "_to.*"))
+
+
+def _dealt(classes: DataFrame, cosine: float, block: int) -> DataFrame:
+    """All rows of all cells, dealt and sorted by (key, _h, _r)."""
+    key = F.xxhash64("cell").alias("key")
+    rows = map_rows(classes.select("cid", "label", "vec", "n"), _replicate(cosine, True), _ROW).select(key, "*")
+    names = map_rows(classes.select("label", "vec"), _replicate(cosine, False),
+                     "cell string, home boolean").select(key, "home")
+    parts = []
+    for done in range(GRID_DIMS, BLOCK_DIMS + 1, GRID_DIMS):
+        large = stage(names.groupBy("key").agg(F.count(F.lit(1)).alias("_rows"),
+                                               F.sum(F.col("home").cast("long")).alias("_homes"))
+                      .where((F.col("_rows") > REPLICAS * block) | (F.col("_homes") > block)), "large-cells")
+        counted = rows.join(large, "key", "left")
+        finer = F.coalesce(F.col("_homes") > FINER * block, F.lit(False))
+        if done + GRID_DIMS > BLOCK_DIMS or large.where(finer).isEmpty():
+            parts.append(_tiles(counted, block))
+            break
+        parts.append(_tiles(counted.where(~finer), block))
+        rows = stage(map_rows(counted.where(finer).select("cell", "home", "block", "cid", "n", "vec"),
+                              _refine(cosine, done), _ROW), "finer-cells").select(key, "*")
+        names = rows.select("key", "home")
+    out = functools.reduce(DataFrame.unionByName, parts)
+    return out.repartition("key", "_h", "_r").sortWithinPartitions("key", "_h", "_r")
+
+
 def _forest(cids, pairs):
     """Edges of ``pairs`` (row, row) that join parts not yet joined."""
     root = list(range(len(cids)))
@@ -110,7 +198,7 @@ def _forest(cids, pairs):
 
 def _compare(cosine: float):
     def run(batches):
-        for g in groups_of(batches, ("key", "_salt")):
+        for g in groups_of(batches, ("key", "_h", "_r")):
             home_rows = np.nonzero(np.array(g["home"], bool))[0]
             if not len(home_rows):
                 continue
@@ -127,6 +215,8 @@ def _compare(cosine: float):
                 blocks, budget = _budgets(unit.shape[1], cosine)
                 weight = np.array([g["n"][i] for i in rows], np.int64)
                 cids = [g["cid"][i] for i in rows]
+                who = np.array(cids, object)
+                rest = np.nonzero(np.array([g["other"][i] for i in rows], bool))[0]
                 at = np.searchsorted(rows, homes)
                 links = np.zeros(len(homes), np.int64)
                 edges = []
@@ -138,8 +228,8 @@ def _compare(cosine: float):
                 for hs in range(0, len(at), TILE):
                     h = at[hs:hs + TILE]
                     tile = []
-                    for rs in range(0, len(rows), 4 * TILE):
-                        r = np.arange(rs, min(rs + 4 * TILE, len(rows)))
+                    for rs in range(0, len(rest), 4 * TILE):
+                        r = rest[rs:rs + 4 * TILE]
                         hit = apart(h, r, blocks[k]) <= budget[k]
                         for j in range(k):  # an earlier block has these already
                             if hit.any():
@@ -148,7 +238,7 @@ def _compare(cosine: float):
                         ri = r[ri]
                         ok = (unit[h[hi]] * unit[ri]).sum(1) >= cosine
                         hi, ri = hi[ok], ri[ok]
-                        other = h[hi] != ri
+                        other = who[h[hi]] != who[ri]
                         np.add.at(links, hs + hi[other], weight[ri[other]])
                         tile += zip(h[hi[other]].tolist(), ri[other].tolist())
                     edges += _forest(range(len(cids)), tile)  # keeps the list as short as the group
@@ -182,13 +272,7 @@ def link_vectors(vectors: DataFrame, cosine: float = MIN_COSINE, block: int = BL
         F.first("label").alias("label"), F.first("vec").alias("vec"), F.count(F.lit(1)).alias("n"),
         F.min("vec_id").alias("lo")), "vector-classes")
 
-    key = F.xxhash64("cell")
-    all_rows = map_rows(classes.select("cid", "label", "vec", "n"), _replicate(cosine, True),
-                        "cell string, home boolean, block int, cid string, n long, vec binary").withColumn("key", key)
-    homes = map_rows(classes.select("label", "vec"), _replicate(cosine, False),
-                     "cell string, home boolean").select(key.alias("key"))
-    dealt = deal_groups(all_rows, homes, "key", "cid", block)
-    found = stage(map_rows(dealt, _compare(cosine), "u string, v string, n_links long"), "vector-links")
+    found = stage(map_rows(_dealt(classes, cosine, block), _compare(cosine), "u string, v string, n_links long"), "vector-links")
 
     links = found.groupBy(F.col("u").alias("cid")).agg(F.sum("n_links").alias("n_links"))
     parts = stage(connected_components(found.where("v IS NOT NULL").select("u", "v")), "components")

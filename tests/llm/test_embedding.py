@@ -84,3 +84,26 @@ def test_every_near_pair_shares_a_cell():
                 home = next(c for r, c, h in where if r == 0 and h)
                 met |= any(r == 1 and c == home for r, c, _ in where)
         assert met
+
+
+def test_hot_cell_is_cut_into_bounded_tiles(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    centre = rng.standard_normal(16)
+    rows = [(i, (centre + 0.12 * rng.standard_normal(16)).tolist(), 1) for i in range(240)]
+    sizes = []
+    dealt = D._dealt
+
+    def spy(classes, cosine, block):
+        out = dealt(classes, cosine, block)
+        sizes.extend(r["count"] for r in out.groupBy("key", "_h", "_r").count().collect())
+        return out
+
+    monkeypatch.setattr(D, "_dealt", spy)
+    want = brute(rows)
+    assert sum(x[1] for x in want) > 1000
+    for finer in (1, 100):  # more coordinates first, or tiles alone
+        monkeypatch.setattr(D, "FINER", finer)
+        sizes.clear()
+        assert run(spark, rows, block=8) == want
+        # a home block and a block of others, both dealt by a hash: twice their mean at most
+        assert max(sizes) <= 2 * (1 + D.REPLICAS) * 8
