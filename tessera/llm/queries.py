@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tessera.llm import (byte_bpe, embedding_dedup, fingerprint, katz, language_id, line_dedup, packing, repeats,
+from tessera.llm import (byte_bpe, conversations, embedding_dedup, fingerprint, katz, language_id, line_dedup, packing, repeats,
                          secret_scan, simhash)
 from tessera.llm.common import documents
 
@@ -87,3 +87,13 @@ def q_simhash(spark, sf_dir):
 def q_packing(spark, sf_dir):
     """All documents packed into windows of 2048 tokens."""
     return packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op11_conversation_repair")
+def q_conversation_repair(spark, sf_dir):
+    """Faults and cheapest repair of every damaged conversation."""
+    rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")
+    return conversations.repair_conversations(conversations.damage(rows))
+
+
+ORACLE["op11_conversation_repair"] = conversations.ORACLE
