@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tessera.llm import (byte_bpe, conversations, embedding_dedup, fingerprint, katz, language_id, line_dedup, packing, repeats,
+from tessera.llm import (byte_bpe, conversations, decontamination, embedding_dedup, fingerprint, katz, language_id, line_dedup, packing, repeats,
                          secret_scan, simhash)
 from tessera.llm.common import documents
 
@@ -97,3 +97,13 @@ def q_conversation_repair(spark, sf_dir):
 
 
 ORACLE["op11_conversation_repair"] = conversations.ORACLE
+
+
+@query("op12_decontamination")
+def q_decontamination(spark, sf_dir):
+    """Words of every text that windows of benchmark items cover, and the items."""
+    bench = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return decontamination.contamination(documents(spark, sf_dir), bench).drop("longest_match")
+
+
+ORACLE["op12_decontamination"] = decontamination.ORACLE
