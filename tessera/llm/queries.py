@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tessera.llm import (byte_bpe, conversations, decontamination, embedding_dedup, fingerprint, katz, language_id, line_dedup, packing, repeats,
-                         secret_scan, simhash)
+from tessera.llm import (byte_bpe, conversations, decontamination, embedding_dedup, fingerprint, hard_negatives, katz,
+                         language_id, line_dedup, packing, repeats, secret_scan, simhash)
 from tessera.llm.common import documents
 
 QUERIES = {}
@@ -107,3 +107,12 @@ def q_decontamination(spark, sf_dir):
 
 
 ORACLE["op12_decontamination"] = decontamination.ORACLE
+
+
+@query("op13_hard_negatives")
+def q_hard_negatives(spark, sf_dir):
+    """Hard negatives of every hundredth vector and each of its positives."""
+    return hard_negatives.hard_negatives(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
+
+
+ORACLE["op13_hard_negatives"] = hard_negatives.ORACLE
