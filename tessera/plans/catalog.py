@@ -502,29 +502,36 @@ def q_logistic_line_search(spark, d):
     return spark.createDataFrame([(round(t, 9),)], "step DOUBLE")
 
 
-@query("logistic_train")
-def q_logistic_train(spark, d):
-    """Train on 3/4 of the labelled documents (lambda 1, 10 steps, eps 0.01);
-    report the held-out classification metrics."""
-    return _logistic_train(spark, d, max_iter=10, eps=0.01)
+def _logistic_train(spark, d):
+    """Train on 3/4 of the labelled documents, the others ride along as test rows."""
+    x, y = _sparse(spark, d)
+    is_test = hash_unit(F.col("row_id").cast("string")) < F.lit(0.25)
+    return L.logistic_train(x, y.where(~is_test), lam=LOGIT_LAM, test=(x, y.where(is_test)))
 
 
-@whole_job("logistic_train_full")
-def q_logistic_train_full(spark, d):
-    """``logistic_train`` with the operator's own limits (100 steps, eps 0.01)."""
-    return _logistic_train(spark, d)
+def _share(part, whole):
+    return round(part / whole, 6) if whole else None
 
 
-def _logistic_train(spark, d, **limits):
-    x, y = _sparse(spark, d)
-    is_test = hash_unit(F.col("row_id").cast("string")) < F.lit(0.25)
-    ytr, yte = y.where(~is_test), y.where(is_test)
-    xtr = x.join(ytr.select("row_id"), "row_id", "left_semi")
-    xte = x.join(yte.select("row_id"), "row_id", "left_semi")
-    beta, gnorm, k, _ = L.logistic_train(xtr, ytr, lam=LOGIT_LAM, **limits)
-    m = L.classification_metrics(xte, yte, beta)
-    return m.select("tp", "fp", "tn", "fn", r6(F.col("accuracy")).alias("accuracy"),
-                    F.lit(k).alias("iterations"), F.lit(round(gnorm, 6)).alias("grad_norm"))
+@query("logistic_train")
+def q_logistic_train(spark, d):
+    """Train (lambda 1, up to 100 steps, eps 0.01); the test rows' metrics afterwards."""
+    _, gnorm, k, history = _logistic_train(spark, d)
+    tp, fp, tn, fn = history[-1][4:]
+    return spark.createDataFrame(
+        [(tp, fp, tn, fn, _share(tp + tn, tp + fp + tn + fn), k, round(gnorm, 6))],
+        "tp LONG, fp LONG, tn LONG, fn LONG, accuracy DOUBLE, iterations INT, grad_norm DOUBLE")
+
+
+@query("logistic_train_steps")
+def q_logistic_train_steps(spark, d):
+    """The same training step by step: loss and gradient norm before each step,
+    its size, and accuracy, precision and recall of the test rows after it."""
+    history = _logistic_train(spark, d)[3]
+    return spark.createDataFrame(
+        [(k, round(loss, 5), round(gnorm, 5), round(t, 9), _share(tp + tn, tp + fp + tn + fn), _share(tp, tp + fp),
+          _share(tp, tp + fn)) for k, loss, gnorm, t, tp, fp, tn, fn in history],
+        "k INT, loss DOUBLE, grad_norm DOUBLE, step DOUBLE, accuracy DOUBLE, precision DOUBLE, recall DOUBLE")
 
 
 @query("classification_metrics")

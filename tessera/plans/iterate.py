@@ -26,19 +26,25 @@ def checkpoint(df: DataFrame) -> DataFrame:
 
 
 def checkpoint_keyed(df: DataFrame, parts: int, *keys: str) -> DataFrame:
-    """Checkpoint ``df`` hash-partitioned by ``keys``, in a way later joins see.
+    """Checkpoint ``df`` hash-partitioned and sorted by ``keys``, in a way later joins see.
 
     Adaptive execution reports no partitioning for what it plans, so it is off
-    for this one write (and restored whatever happens); joins on ``keys`` then
+    for this one write (all settings are restored whatever happens); joins on ``keys`` then
     move only their other side, to the same ``parts`` partitions.  Such a
     partition can no longer be split at run time: salt hot keys before.
+    Without ``keys`` the partitioning that the plan ends in stays.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    setting = "spark.sql.adaptive.enabled"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "false")
+    # exchanges inside the plan get the same number of partitions, so that they meet without another one;
+    # without runtime sizes a broadcast would rest on an estimate
+    held = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(parts),
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
     try:
-        return df.repartition(parts, *keys).checkpoint(eager=True)
+        return (df.repartition(parts, *keys).sortWithinPartitions(*keys) if keys else df).checkpoint(eager=True)
     finally:
-        spark.conf.set(setting, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)

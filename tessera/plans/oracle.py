@@ -920,7 +920,7 @@ def _():
 
 
 # --------------------------------------------- logistic training (unrolled)
-def logistic_train_sql(lam=1.0, max_iter=10, eps=0.01):
+def logistic_train_sql(lam=1.0, max_iter=100, eps=0.01, each_step=False):
     hu = "((('0x' || substr(md5(row_id::VARCHAR), 1, 8))::BIGINT + 0.5) / 4294967296.0)"
     ctes = [TOKENS.strip(), """sx AS (SELECT doc_id AS row_id, term AS feature, count(*)::DOUBLE AS value
   FROM tokens WHERE doc_id IN (SELECT doc_id FROM labels) GROUP BY doc_id, term)""",
@@ -964,6 +964,22 @@ def logistic_train_sql(lam=1.0, max_iter=10, eps=0.01):
     gns = " UNION ALL ".join(f"SELECT {i} AS it, sqrt(gg) AS gn FROM sc{i}" for i in range(1, max_iter + 1))
     ctes.append(f"gns AS MATERIALIZED ({gns})")
     ctes.append(f"stop AS (SELECT coalesce(min(it), {max_iter}) AS it FROM gns WHERE gn <= {eps!r})")
+    if each_step:
+        for i in range(1, max_iter + 1):
+            ctes.append(f"zt{i} AS (SELECT y.y, coalesce(z.z, 0) AS z FROM yte y LEFT JOIN "
+                        f"(SELECT x.row_id, sum(x.value * b.value) AS z FROM xte x JOIN b{i} b USING (feature) "
+                        f"GROUP BY x.row_id) z USING (row_id))")
+        steps = " UNION ALL ".join(
+            f"SELECT {i} AS it, (SELECT fx FROM fx{i}) AS loss, (SELECT t FROM t{i}) AS t, "
+            f"count(*) FILTER (WHERE z > 0 AND y = 1) AS tp, count(*) FILTER (WHERE z > 0 AND y = -1) AS fp, "
+            f"count(*) FILTER (WHERE z <= 0 AND y = -1) AS tn, count(*) FILTER (WHERE z <= 0 AND y = 1) AS fn FROM zt{i}"
+            for i in range(1, max_iter + 1))
+        ctes.append(f"steps AS ({steps})")
+        return "WITH " + ",\n".join(ctes) + """
+SELECT (it - 1)::INTEGER AS k, round(loss, 5) AS loss, round(gn, 5) AS grad_norm, round(t, 9) AS step,
+  round((tp + tn)::DOUBLE / nullif(tp + fp + tn + fn, 0), 6) AS accuracy,
+  round(tp::DOUBLE / nullif(tp + fp, 0), 6) AS precision, round(tp::DOUBLE / nullif(tp + fn, 0), 6) AS recall
+FROM steps JOIN gns USING (it) WHERE it <= (SELECT it FROM stop)"""
     bs = " UNION ALL ".join(f"SELECT {i} AS it, feature, value FROM b{i}" for i in range(1, max_iter + 1))
     ctes.append(f"fin AS (SELECT feature, value FROM ({bs}) WHERE it = (SELECT it FROM stop))")
     ctes.append("zt AS (SELECT y.row_id, y.y, coalesce(z.z, 0) AS z FROM yte y LEFT JOIN "
@@ -986,6 +1002,11 @@ def _():
     return logistic_train_sql()
 
 
+@sql("logistic_train_steps")
+def _():
+    return logistic_train_sql(each_step=True)
+
+
 @sql("ridge_model_roundtrip")
 def _():
     src = """keyed AS (
