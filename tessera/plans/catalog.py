@@ -18,21 +18,15 @@ from tessera.session import ensure_checkpoint_dir
 from tessera.sources import tables as S
 
 QUERIES = {}
-#: Whole training runs, too long to be written out in SQL.
-WHOLE_JOBS = {}
 
 
-def query(name, into=QUERIES):
+def query(name):
     def deco(fn):
-        into[name] = fn
+        QUERIES[name] = fn
         return fn
     return deco
 
 
-def whole_job(name):
-    return query(name, WHOLE_JOBS)
-
-
 def r6(c):
     return F.round(c, 6)
 
@@ -610,42 +604,22 @@ def q_mf_adapt(spark, d):
 @query("mf_train")
 def q_mf_train(spark, d):
     """20 rounds on the whole ratings table (test = train): objective and RMSE per round."""
-    _, _, hist = M.mf_train(_mf_ratings(spark, d), d=MF_D, maxiter=20, seed=MF_SEED)
+    _, _, hist = M.mf_train(_mf_ratings(spark, d), d=MF_D, seed=MF_SEED)
     return spark.createDataFrame([(i, round(o, 6), round(e, 6)) for i, o, e in hist],
                                  "iteration INT, objective DOUBLE, test_rmse DOUBLE")
 
 
 @query("mf_cross_validate")
 def q_mf_cross_validate(spark, d):
-    """5 folds by md5(user|item), 4 rounds each: held-out RMSE per fold."""
-    return _mf_cross_validate(spark, d, maxiter=4)
-
-
-@whole_job("mf_cross_validate_full")
-def q_mf_cross_validate_full(spark, d):
-    """``mf_cross_validate`` with the operator's own limit (20 rounds)."""
-    return _mf_cross_validate(spark, d)
-
-
-def _mf_cross_validate(spark, d, **limits):
-    cv = M.mf_cross_validate(_mf_ratings(spark, d), folds=5, d=MF_D, seed=MF_SEED, **limits)
-    return cv.select("fold", r6(F.col("test_rmse")).alias("test_rmse"))
+    """5 folds by md5(user|item), 20 rounds each: held-out RMSE per fold, and the mean."""
+    cv = M.mf_cross_validate(_mf_ratings(spark, d), folds=5, d=MF_D, seed=MF_SEED)
+    return cv.select("fold", r6(F.col("test_rmse")).alias("test_rmse"), r6(F.col("mean_rmse")).alias("mean_rmse"))
 
 
 @query("mf_save_profiles")
 def q_mf_save_profiles(spark, d):
-    """Train 3 rounds on all ratings, save U and V as parquet, read them back."""
-    return _mf_save_profiles(spark, d, maxiter=3)
-
-
-@whole_job("mf_save_profiles_full")
-def q_mf_save_profiles_full(spark, d):
-    """``mf_save_profiles`` with the operator's own limit (20 rounds)."""
-    return _mf_save_profiles(spark, d)
-
-
-def _mf_save_profiles(spark, d, **limits):
-    U, V, _ = M.mf_train(_mf_ratings(spark, d), d=MF_D, seed=MF_SEED, **limits)
+    """Train on all ratings, save U and V as parquet, read them back."""
+    U, V, _ = M.mf_train(_mf_ratings(spark, d), d=MF_D, seed=MF_SEED)
     base = os.path.join(ensure_checkpoint_dir(spark), f"profiles-{uuid.uuid4().hex}")
     IO.save_profiles(U, base + "_U")
     IO.save_profiles(V, base + "_V")

@@ -10,7 +10,11 @@ because its blocks die with the executor that holds them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 from tessera.session import ensure_checkpoint_dir
 
@@ -25,26 +29,49 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def checkpoint_keyed(df: DataFrame, parts: int, *keys: str) -> DataFrame:
-    """Checkpoint ``df`` hash-partitioned and sorted by ``keys``, in a way later joins see.
+@contextmanager
+def _planned_for(spark: SparkSession, parts: int) -> Iterator[None]:
+    """Plan without adaptive execution, in ``parts`` partitions.
 
-    Adaptive execution reports no partitioning for what it plans, so it is off
-    for this one write (all settings are restored whatever happens); joins on ``keys`` then
-    move only their other side, to the same ``parts`` partitions.  Such a
-    partition can no longer be split at run time: salt hot keys before.
-    Without ``keys`` the partitioning that the plan ends in stays.
+    Exchanges inside the plan then get the same number of partitions, so that
+    they meet what is partitioned already without another one; without runtime
+    sizes a broadcast would rest on an estimate.  All settings are restored.
     """
-    spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    # exchanges inside the plan get the same number of partitions, so that they meet without another one;
-    # without runtime sizes a broadcast would rest on an estimate
     held = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(parts),
-            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+            "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.requireAllClusterKeysForCoPartition": "false"}
     before = {k: spark.conf.get(k) for k in held}
     for k, v in held.items():
         spark.conf.set(k, v)
     try:
-        return (df.repartition(parts, *keys).sortWithinPartitions(*keys) if keys else df).checkpoint(eager=True)
+        yield
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def checkpoint_keyed(df: DataFrame, parts: int, *keys: str, order: tuple[str, ...] = ()) -> DataFrame:
+    """Checkpoint ``df`` hash-partitioned and sorted by ``keys``, in a way later joins see.
+
+    Adaptive execution reports no partitioning for what it plans, so it is off
+    for this one write; joins on ``keys`` then move only their other side, to
+    the same ``parts`` partitions.  Such a partition can no longer be split at
+    run time: salt hot keys before.  Without ``keys`` the partitioning that the
+    plan ends in stays.  Later joins may use further keys, ``order`` being
+    sorted by as well.
+    """
+    with _planned_for(df.sparkSession, parts):
+        return (df.repartition(parts, *keys).sortWithinPartitions(*keys, *order) if keys else df).checkpoint(eager=True)
+
+
+def written_round(df: DataFrame, parts: int, name: str) -> DataFrame:
+    """The state of a round as a table in the shared folder, planned like
+    ``checkpoint_keyed``.  Unlike a checkpoint it has its true size: a checkpoint
+    keeps the planner's estimate, a product over the joins of all rounds so far,
+    whose digits double where a round joins its state twice.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    with _planned_for(spark, parts):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -845,16 +845,16 @@ def _():
     for f in range(5):
         parts.append(f"tr{f} AS (SELECT \"user\", item, rating FROM mf_f WHERE fold <> {f})")
         parts.append(f"te{f} AS (SELECT \"user\", item, rating FROM mf_f WHERE fold = {f})")
-        parts.append(mf_sql(f"tr{f}", f"te{f}", 4, p=f"f{f}"))
-        sel.append(f"SELECT {f}::INTEGER AS fold, round(test_rmse, 6) AS test_rmse FROM f{f}_hist "
-                   f"WHERE iteration = 4")
-    return "WITH " + ",\n".join(parts) + "\n" + " UNION ALL ".join(sel)
+        parts.append(mf_sql(f"tr{f}", f"te{f}", 20, p=f"f{f}"))
+        sel.append(f"SELECT {f}::INTEGER AS fold, test_rmse FROM f{f}_hist WHERE iteration = 20")
+    return ("WITH " + ",\n".join(parts) + "\nSELECT fold, round(test_rmse, 6) AS test_rmse, "
+            "round(avg(test_rmse) OVER (), 6) AS mean_rmse FROM (" + " UNION ALL ".join(sel) + ")")
 
 
 @sql("mf_save_profiles")
 def _():
-    return (f"WITH {MF_RATINGS}, {mf_sql('mf_r', 'mf_r', 3)} "
-            f"{long_sql('m_U3', 'U')} UNION ALL {long_sql('m_V3', 'V')}")
+    return (f"WITH {MF_RATINGS}, {mf_sql('mf_r', 'mf_r', 20)} "
+            f"{long_sql('m_U20', 'U')} UNION ALL {long_sql('m_V20', 'V')}")
 
 
 # ------------------------------------------------- ridge training (Gram form)
