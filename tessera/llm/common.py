@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -91,10 +90,6 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], sche
     return df.mapInArrow(run, schema)
 
 
-#: What may precede a split between two pieces: any white space, as ``re`` sees it.
-SPACE_BEFORE_SPACE = re.compile(r"\s ")
-
-
 def deal_groups(rows: DataFrame, homes: DataFrame, key: str, identity: str, block: int) -> DataFrame:
     """Rows dealt and sorted by (key, salt) for a streaming group comparison.
 

@@ -22,6 +22,7 @@ ids are unique within one run: partition number x 2^33 + a counter.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -31,20 +32,19 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tessera.llm.byte_bpe import CACHE
-from tessera.llm.common import SPACE_BEFORE_SPACE, map_rows, text_or_empty
+from tessera.llm.common import map_rows, text_or_empty
 
 WINDOW = 2048
 OPEN_TOKENS = 4 << 20
 END_ID = 1
 SPECIAL = "<|endoftext|>"
+PART = 1 << 16
+_BOUNDARY = re.compile(r"\S[ \n]")
 _LOADED: dict[str, "Ids"] = {}
 
 
-def _merge_ranks(path: str) -> dict[bytes, int] | None:
+def _merge_ranks(model: dict) -> dict[bytes, int] | None:
     """token bytes -> id of a byte-level BPE file, if its ids follow its merges."""
-    with open(path, encoding="utf-8") as f:
-        model = json.load(f)
     vocab, merges = model["model"]["vocab"], model["model"]["merges"]
     special = {t["content"] for t in model.get("added_tokens", [])}
     # the byte-level alphabet: printable Latin-1 stands for itself, other bytes for 256, 257, ...
@@ -58,23 +58,31 @@ def _merge_ranks(path: str) -> dict[bytes, int] | None:
     return {bytes(byte_of[c] for c in t): i for t, i in vocab.items() if t not in special}
 
 
+def _splits_by_default(model: dict) -> bool:
+    """Whether the file splits texts by ``public_tokenizers.PATTERN`` and does nothing else to them."""
+    split = model.get("pre_tokenizer") or {}
+    plain = all(not model["model"].get(k) for k in ("dropout", "byte_fallback", "ignore_merges", "unk_token"))
+    return (plain and model.get("normalizer") is None and split.get("type") == "ByteLevel"
+            and split.get("use_regex", True) and not split.get("add_prefix_space"))
+
+
 class Ids:
     """Ids of a text under a byte-level BPE tokenizer file, as uint32 bytes.
 
-    A boundary before white space that follows a non-space character is always
-    a pre-token boundary, so a text may be split there and its parts be looked
-    up in a bounded cache.  Parts that are not in the cache are encoded from
-    the file's own merge ranks, where ids follow the order of the merges (then
-    the lowest rank is the next merge); other files, and texts where white
-    space precedes a space or which hold the special token's string, go to the
-    tokenizer itself.
+    Where the file's ids follow its merges (then the lowest rank is the next
+    merge) and it splits by the byte-level pattern, texts are encoded from its
+    own merge ranks; other files, and texts that hold the special token's
+    string, go to the tokenizer itself.  A boundary before a space or line feed
+    that follows a non-space character is always a pre-token boundary, so long
+    texts are encoded in parts of about ``PART`` characters.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {}
-        ranks = _merge_ranks(path)
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)
+        ranks = _merge_ranks(model) if _splits_by_default(model) else None
         self.ranked = ranks and tiktoken.Encoding(
             "ranked", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
@@ -84,36 +92,26 @@ class Ids:
             _LOADED[path] = cls(path)
         return _LOADED[path]
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        """Ids of parts that hold no special token's string."""
-        if self.ranked:
-            return [np.array(self.ranked.encode_ordinary(t), "<u4").tobytes() for t in texts]
-        return self._whole(texts)
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    @staticmethod
+    def _parts(text: str) -> Iterator[str]:
+        at = 0
+        while len(text) - at > PART:
+            cut = _BOUNDARY.search(text, at + PART)
+            if cut is None:
+                break
+            yield text[at:cut.start() + 1]
+            at = cut.start() + 1
+        yield text[at:] if at else text
+
+    def _one(self, text: str) -> bytes:
+        return b"".join(self.ranked.encode_to_numpy(p, disallowed_special=()).astype("<u4").tobytes()
+                        for p in self._parts(text))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-        cache, parts, missing, whole = self.cache, [], set(), []
-        for text in texts:
-            if SPECIAL in text or SPACE_BEFORE_SPACE.search(text):
-                parts.append(None)
-                whole.append(text)
-                continue
-            p = text.split(" ")
-            p = p[:1] * bool(p[0]) + [" " + x for x in p[1:]]
-            parts.append(p)
-            missing.update(x for x in p if x not in cache)
-        new = sorted(missing)
-        fresh = dict(zip(new, self._ids(new)))
-        cache.update((k, v) for k, v in fresh.items() if len(k) <= 64)
-        rest = {k: v for k, v in fresh.items() if len(k) > 64}
-        get = (lambda x: rest[x] if len(x) > 64 else cache[x]) if rest else cache.__getitem__
-        others = iter(self._whole(whole))
-        return [next(others) if p is None else b"".join(map(get, p)) for p in parts]
+        whole = [t for t in texts if not self.ranked or SPECIAL in t]
+        others = iter([np.array(e.ids, "<u4").tobytes()
+                       for e in self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)])
+        return [next(others) if not self.ranked or SPECIAL in t else self._one(t) for t in texts]
 
 
 class Packer:

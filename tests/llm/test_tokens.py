@@ -78,6 +78,19 @@ def test_packing_query(spark, sf):
     check_packing(E.queries()["op10_packing"](spark, sf).collect(), ids)
 
 
+def test_long_texts_are_encoded_in_parts(monkeypatch):
+    from tokenizers import Tokenizer
+    path = P.path("byte_bpe_50k.json")
+    plain, own = Tokenizer.from_file(path), packing.Ids(path)
+    assert own.ranked
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("ab1 \n\t.'é漢s\x1c\x85\u3000") for _ in range(rng.randrange(300))) for _ in range(200)]
+    for part in (1, 7, 50):
+        monkeypatch.setattr(packing, "PART", part)
+        for text, ids in zip(texts, own.encode(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
 def test_packing_awkward(spark):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
