@@ -89,8 +89,9 @@ def _slices(raw: bytes, length: int):
 
 
 def runs_of(raw: bytes, length: int, naming: int):
-    """(name, first window, last window, hash, inner, window hash function) per
-    run; ``inner`` is 1 where the naming substring occurs more than once in the run."""
+    """(name, first window, last window, hash, inner, hashes of windows a to b of
+    the slice as a function) per run; ``inner`` is 1 where the naming substring
+    occurs more than once in the run."""
     seed = length - naming + 1
     for s, data in _slices(raw, length):
         named, whole = _Prefix(data, 0), _Prefix(data, 1)
@@ -105,9 +106,12 @@ def runs_of(raw: bytes, length: int, naming: int):
             inside = near < np.minimum(hi[c:c + 4096] + naming, len(seeds))[:, None]
             same = seeds[np.minimum(near, len(seeds) - 1)] == low[lo[c:c + 4096]][:, None]
             inner[c:c + 4096] |= (same & inside).sum(1) > 1
-        at = np.arange(len(low))
-        yield (low[lo].view(np.int64), lo + s, hi + s, whole.hash(lo, hi + length).view(np.int64), inner,
-               whole.hash(at, at + length).view(np.int64))
+
+        def windows(a, b, whole=whole):
+            at = np.arange(a, b + 1)
+            return whole.hash(at, at + length).view(np.int64)
+
+        yield low[lo].view(np.int64), lo + s, hi + s, whole.hash(lo, hi + length).view(np.int64), inner, windows
 
 
 def inner_runs_of(raw: bytes, spans: list[tuple[int, int]], length: int, naming: int):
@@ -119,7 +123,7 @@ def inner_runs_of(raw: bytes, spans: list[tuple[int, int]], length: int, naming:
             first = int(lo[0])
             for j in range(len(lo)):
                 yield (int(name[j]), a + int(lo[j]), a + int(hi[j]), int(h[j]), int(inner[j]),
-                       windows[lo[j] - first:hi[j] - first + 1].astype("<i8").tobytes())
+                       windows(lo[j] - first, hi[j] - first).astype("<i8").tobytes())
 
 
 def _joined_spans(spans: list[tuple[int, int]]) -> list[list[int]]:
@@ -164,7 +168,8 @@ def repeated_windows(rows: DataFrame, length: int = LENGTH, naming: int = NAMING
                     yield {"doc": [doc] * len(lo), "row": [row] * len(lo), "name": name, "a": lo, "b": hi,
                            "h": h, "inner": inner}
 
-    runs = map_rows(rows, emit, f"doc {kind}, row long, name long, a int, b int, h long, inner int")
+    # written once: counting the names and looking them up both read it
+    runs = stage(map_rows(rows, emit, f"doc {kind}, row long, name long, a int, b int, h long, inner int"), "all-runs")
     # names seen twice; the count is combined within each task
     names = stage(runs.groupBy("name").agg(F.sum(1 + F.col("inner")).alias("n")).where("n > 1").select("name"), "names")
     settled, opened = _settle(stage(runs.join(names, "name", "left_semi"), "runs"))
@@ -197,8 +202,8 @@ def repeated_windows(rows: DataFrame, length: int = LENGTH, naming: int = NAMING
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, naming: int = NAMING, fine: int = FINE) -> DataFrame:
-    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and spans
-    (first byte, end) removed."""
+    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept (bytes
+    left) and spans (first byte, end) removed."""
     rows = docs.select(F.col("doc_id").alias("doc"), text_or_empty().alias("_text")).withColumn(
         "row", F.xxhash64("_text"))
     kind = rows.schema["doc"].dataType.simpleString()
@@ -209,7 +214,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, naming: int = NAMING,
 
     def cut(batches):
         for b in batches:
-            out = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")}
+            out = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "n_kept", "spans")}
             for text, spans in zip(b["_text"], b["spans"]):
                 raw = text.encode()
                 gone = _joined_spans([(x["a"], x["b"] + length) for x in spans or ()])
@@ -222,8 +227,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, naming: int = NAMING,
                 out["n_removed"].append(sum(e - s for s, e in gone))
                 out["n_spans"].append(len(gone))
                 out["kept_sha256"].append(digest.hexdigest())
+                out["n_kept"].append(out["n_bytes"][-1] - out["n_removed"][-1])
                 out["spans"].append([{"start": s, "end": e} for s, e in gone])
             yield {"doc_id": b["doc"], **out}
 
     return map_rows(joined, cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
+                                 "n_kept long, "
                                  "spans array<struct<start:long,end:long>>")
