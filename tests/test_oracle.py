@@ -6,7 +6,7 @@ import __spark_entry__ as E
 from oracle_compare import compare, duck
 
 # long iterative runs get their own smaller tests
-SLOW = {"mf_train", "mf_cross_validate"}
+SLOW = {"mf_train", "mf_cross_validate", "logistic_train_steps"}
 NAMES = sorted(n for n in E.oracle_sql() if n not in SLOW)
 
 
