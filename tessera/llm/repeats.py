@@ -126,14 +126,20 @@ def inner_runs_of(raw: bytes, spans: list[tuple[int, int]], length: int, naming:
                        windows(lo[j] - first, hi[j] - first).astype("<i8").tobytes())
 
 
-def _joined_spans(spans: list[tuple[int, int]]) -> list[list[int]]:
-    out: list[list[int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return out
+def _span(a: str = "a", b: str = "b"):
+    """First and last window of a span as one long, so that lists of them stay plain arrays."""
+    return F.col(a).cast("long") * F.lit(1 << 32) + F.col(b)
+
+
+def _joined_spans(spans: list[int] | None, length: int) -> list[list[int]]:
+    """(first byte, end) of the bytes that the spans' windows cover, joined where they meet."""
+    if not spans:
+        return []
+    packed = np.sort(np.array(spans, np.int64))
+    starts, ends = packed >> 32, np.maximum.accumulate((packed & 0xFFFFFFFF) + length)
+    first = np.concatenate([[0], np.flatnonzero(starts[1:] > ends[:-1]) + 1])
+    last = np.concatenate([first[1:], [len(starts)]]) - 1
+    return np.stack([starts[first], ends[last]], 1).tolist()
 
 
 def _settle(runs: DataFrame, carried: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
@@ -173,13 +179,13 @@ def repeated_windows(rows: DataFrame, length: int = LENGTH, naming: int = NAMING
     # names seen twice; the count is combined within each task
     names = stage(runs.groupBy("name").agg(F.sum(1 + F.col("inner")).alias("n")).where("n > 1").select("name"), "names")
     settled, opened = _settle(stage(runs.join(names, "name", "left_semi"), "runs"))
-    spans = stage(opened.groupBy("doc", "row").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "open-spans")
+    spans = stage(opened.groupBy("doc", "row").agg(F.collect_list(_span()).alias("spans")), "open-spans")
 
     def emit_inner(batches):
         names = ("name", "a", "b", "h", "inner", "hashes")
         for b in batches:
             for doc, row, text, spans in zip(b["doc"], b["row"], b["_text"], b["spans"]):
-                found = list(zip(*inner_runs_of(text.encode(), [(x["a"], x["b"]) for x in spans], length, fine)))
+                found = list(zip(*inner_runs_of(text.encode(), [(x >> 32, x & 0xFFFFFFFF) for x in spans], length, fine)))
                 yield {"doc": [doc] * len(found[0]), "row": [row] * len(found[0]), **dict(zip(names, found))}
 
     same = [rows["doc"].eqNullSafe(F.col("s.doc")), rows["row"] == F.col("s.row")]
@@ -208,7 +214,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, naming: int = NAMING,
         "row", F.xxhash64("_text"))
     kind = rows.schema["doc"].dataType.simpleString()
     windows = repeated_windows(rows.where(F.octet_length("_text") >= length), length, naming, fine)
-    per = stage(windows.groupBy("doc", "row").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "repeats")
+    per = stage(windows.groupBy("doc", "row").agg(F.collect_set(_span()).alias("spans")), "repeats")
     joined = rows.join(per.alias("s"), [rows["doc"].eqNullSafe(F.col("s.doc")), rows["row"] == F.col("s.row")], "left"
                        ).select(rows["doc"], "_text", "spans")
 
@@ -217,7 +223,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, naming: int = NAMING,
             out = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "n_kept", "spans")}
             for text, spans in zip(b["_text"], b["spans"]):
                 raw = text.encode()
-                gone = _joined_spans([(x["a"], x["b"] + length) for x in spans or ()])
+                gone = _joined_spans(spans, length)
                 digest, at = hashlib.sha256(), 0
                 for s, e in gone:
                     digest.update(raw[at:s])
