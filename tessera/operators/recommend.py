@@ -243,8 +243,28 @@ def mean_popularity(recs: DataFrame, train: DataFrame, n: int = N_REC, users: Da
 
 # ---------------------------------------------------------------- C16
 def sample_first(ratings: DataFrame, n: int, order=("user", "item")) -> DataFrame:
-    """The first n rows under an explicit order (a sampling operator)."""
-    return ratings.orderBy(*order).limit(n)
+    """The first n rows under an explicit order (a sampling operator).
+
+    The rows are range partitioned and sorted, and written once; the row counts
+    of the partitions tell in which one the n-th row lies and how many of its
+    rows belong.  No task holds more than its own range, however large n is.
+    Rows equal in ``order`` follow by their other columns.
+    """
+    rest = [c for c in ratings.columns if c not in order]
+    rows = checkpoint(ratings.repartitionByRange(*order, *rest).sortWithinPartitions(*order, *rest))
+    # position in the partition: the low 33 bits of Spark's per-partition counter
+    placed = (rows.withColumn("_part", F.spark_partition_id())
+              .withColumn("_at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
+    # one number per partition
+    sizes = sorted((r["_part"], r["count"]) for r in placed.groupBy("_part").count().collect())
+    part, left = len(sizes) and sizes[-1][0] + 1, n
+    for at, size in sizes:
+        if size >= left:
+            part = at
+            break
+        left -= size
+    keep = (F.col("_part") < part) | ((F.col("_part") == part) & (F.col("_at") < left))
+    return placed.where(keep).select(*ratings.columns)
 
 
 def sample_fraction(ratings: DataFrame, fraction: float, key=("user", "item")) -> DataFrame:

@@ -4,15 +4,19 @@ F(b) = 1/n sum (y - <x, b>)^2 + lam * ||b||^2,  grad F = -2/n sum (y - <x,b>) x
 
 Two execution strategies, same mathematics:
 
-* ``method="gram"`` (default): one aggregation over the data computes the
-  sufficient statistics n, y'y, X'y and X'X (d*(d+1)/2 sums, combined on the
-  map side).  F and grad F at any b are then exact functions of these d x d
-  numbers, so every gradient step and every line-search trial costs no further
-  pass over the data.  The statistics grow with d, never with n.
+* ``method="gram"`` (default): one aggregation over the data computes n, the
+  means and the covariances of x and y (d*(d+1)/2 + d co-moments, which Spark
+  merges pairwise around their means, so a large offset of a column cancels
+  nothing).  grad F at any b and F's decrease along it are functions of these
+  d x d numbers, so every gradient step and every line-search trial costs no
+  further pass over the data.  The statistics grow with d, never with n.
 * ``method="pass"``: for large d, each iteration runs one distributed gradient
   (posexplode + groupBy(idx), d rows per task after partial aggregation) and
-  one line-search pass that evaluates all trial steps at once: F(b - t g) is a
-  quadratic in t whose three data-dependent sums come from a single agg.
+  one line-search pass that evaluates all trial steps at once: F(b - t g) - F(b)
+  is a quadratic in t whose two data-dependent sums come from a single agg.
+
+beta enters a plan as one text constant that the optimizer folds into one array,
+so a plan's size does not grow with d.  A loss that is no number raises.
 """
 
 from __future__ import annotations
@@ -28,7 +32,10 @@ A_LS, B_LS = 0.2, 0.6   # backtracking parameters (sufficient decrease, shrink)
 
 
 def _lit_array(beta) -> F.Column:
-    return F.array(*[F.lit(float(b)) for b in beta])
+    """All of beta as one constant: the shortest decimal text of a double reads back as that double."""
+    if not len(beta):
+        return F.array().cast("array<double>")
+    return F.split(F.lit(",".join(repr(float(b)) for b in beta)), ",").cast("array<double>")
 
 
 def dimension(data: DataFrame, x: str = "x") -> int:
@@ -75,43 +82,35 @@ def gradient_check(data: DataFrame, beta, lam: float = 0.0, delta: float = 1e-6,
                    x: str = "x", y: str = "y") -> DataFrame:
     """Forward-difference gradient (F(b + delta e_i) - F(b)) / delta.
 
-    All d + 1 objective values come from one aggregation: with e = y - <x, b>,
-    the residual under b + delta e_i is e - delta x_i, so each candidate is
-    one more sum column.  Returns (idx, numeric, analytic).
+    All d + 1 objective values come from one aggregation by position: with
+    e = y - <x, b>, the residual under b + delta e_i is e - delta x_i.
+    Returns (idx, numeric, analytic).
     """
-    d = len(beta)
-    b = _lit_array(beta)
-    e = F.col(y) - array_dot(F.col(x), b)
-    cols = [F.avg(F.pow(e, 2)).alias("f0")]
-    cols += [F.avg(F.pow(e - F.lit(delta) * F.col(x)[i], 2)).alias(f"f{i + 1}")
-             for i in range(d)]
-    row = data.agg(*cols)
+    e = data.select((F.col(y) - array_dot(F.col(x), _lit_array(beta))).alias("e"),
+                    F.posexplode(x).alias("idx", "xi"))
     base = sum(float(v) ** 2 for v in beta)
-    out = []
-    for i in range(d):
-        reg_i = lam * (base - float(beta[i]) ** 2 + (float(beta[i]) + delta) ** 2)
-        out.append(F.struct(F.lit(i).alias("idx"),
-                            ((F.col(f"f{i + 1}") + F.lit(reg_i) - F.col("f0") - F.lit(lam * base))
-                             / F.lit(delta)).alias("numeric")))
-    num = row.select(F.explode(F.array(*out)).alias("g")).select("g.*")
+    moved = _lit_array([lam * (base - float(v) ** 2 + (float(v) + delta) ** 2) for v in beta])
+    num = e.groupBy("idx").agg(F.avg(F.pow(F.col("e") - F.lit(delta) * F.col("xi"), 2)).alias("f1"),
+                               F.avg(F.pow("e", F.lit(2))).alias("f0"))
+    num = num.select("idx", ((F.col("f1") + moved[F.col("idx")] - F.col("f0") - F.lit(lam * base))
+                             / F.lit(delta)).alias("numeric"))
     ana = ridge_gradient(data, beta, lam, x, y).withColumnRenamed("grad", "analytic")
     return num.join(ana, "idx")
 
 
 # ---------------------------------------------------------------- statistics
 def gram_statistics(data: DataFrame, d: int, x: str = "x", y: str = "y") -> dict:
-    """n, y'y, X'y (d) and X'X (d x d) from one aggregation."""
-    cols = [F.count(F.lit(1)).alias("n"), F.sum(F.col(y) * F.col(y)).alias("yy")]
-    cols += [F.sum(F.col(x)[i] * F.col(y)).alias(f"xy{i}") for i in range(d)]
-    cols += [F.sum(F.col(x)[i] * F.col(x)[j]).alias(f"xx{i}_{j}")
-             for i in range(d) for j in range(i, d)]
+    """n, the means of x (d) and y, and the covariances (divided by n) of x with
+    y (d) and with itself (d x d), from one aggregation."""
+    xs, target = [F.col(x)[i].cast("double") for i in range(d)], F.col(y).cast("double")
+    cols = [F.count(F.lit(1)).alias("n"), F.avg(target).alias("my")]
+    cols += [F.avg(xs[i]).alias(f"m{i}") for i in range(d)]
+    cols += [F.covar_pop(xs[i], target).alias(f"xy{i}") for i in range(d)]
+    cols += [F.covar_pop(xs[i], xs[j]).alias(f"xx{i}_{j}") for i in range(d) for j in range(i, d)]
     r = data.agg(*cols).first()
-    xtx = [[0.0] * d for _ in range(d)]
-    for i in range(d):
-        for j in range(i, d):
-            xtx[i][j] = xtx[j][i] = float(r[f"xx{i}_{j}"] or 0.0)
-    return {"n": int(r["n"]), "yy": float(r["yy"] or 0.0),
-            "xty": [float(r[f"xy{i}"] or 0.0) for i in range(d)], "xtx": xtx}
+    cov = [[float(r[f"xx{min(i, j)}_{max(i, j)}"] or 0.0) for j in range(d)] for i in range(d)]
+    return {"n": int(r["n"]), "mean_y": float(r["my"] or 0.0), "mean_x": [float(r[f"m{i}"] or 0.0) for i in range(d)],
+            "cov_xy": [float(r[f"xy{i}"] or 0.0) for i in range(d)], "cov_xx": cov}
 
 
 def _matvec(m, v):
@@ -123,14 +122,18 @@ def _dot(a, b):
 
 
 def _gradient_from_stats(st, beta, lam):
-    n = st["n"]
-    xb = _matvec(st["xtx"], beta)
-    return [2.0 * (xb[i] - st["xty"][i]) / n + 2.0 * lam * beta[i] for i in range(len(beta))]
+    cb, left = _matvec(st["cov_xx"], beta), st["mean_y"] - _dot(st["mean_x"], beta)
+    return [2.0 * (cb[i] - st["cov_xy"][i]) - 2.0 * st["mean_x"][i] * left + 2.0 * lam * beta[i]
+            for i in range(len(beta))]
 
 
-def _backtrack(fun, f0, gnorm2, a=A_LS, b=B_LS) -> float:
+def _backtrack(change, slope: float, a=A_LS, b=B_LS) -> float:
+    """The first t of 1, b, b^2, ... with change(t) = F(beta - t g) - F(beta) <=
+    -a t slope; a change that is no number raises."""
     t = 1.0
-    while fun(t) > f0 - a * t * gnorm2:
+    while not (c := change(t)) <= -a * t * slope:
+        if math.isnan(c):
+            raise ValueError("the loss is not a number")
         t *= b
     return t
 
@@ -141,21 +144,19 @@ def ridge_line_search(data: DataFrame, beta, grad, lam: float = 0.0, x: str = "x
     """Backtracking step t = b^k for the smallest k with
     F(beta - t g) <= F(beta) - a t ||g||^2, from one pass over the data.
 
-    With e = y - <x, beta> and w = <x, g>: sum (y - <x, beta - t g>)^2 =
-    S_ee + 2 t S_ew + t^2 S_ww, so one aggregation of three sums prices every t.
+    With e = y - <x, beta> and w = <x, g>, F(beta - t g) - F(beta) =
+    t (2 mean(e w) - 2 lam <beta, g>) + t^2 (mean(w w) + lam <g, g>), so one
+    aggregation of two means prices every t, without a difference of large sums.
     """
     bb, gg = _lit_array(beta), _lit_array(grad)
     e = F.col(y) - array_dot(F.col(x), bb)
     w = array_dot(F.col(x), gg)
-    r = data.agg(F.count(F.lit(1)).alias("n"), F.sum(e * e).alias("ee"),
-                 F.sum(e * w).alias("ew"), F.sum(w * w).alias("ww")).first()
-    n = r["n"]
-
-    def fun(t):
-        nb = [p - t * q for p, q in zip(beta, grad)]
-        return (r["ee"] + 2 * t * r["ew"] + t * t * r["ww"]) / n + lam * _dot(nb, nb)
-
-    return _backtrack(fun, fun(0.0), _dot(grad, grad), a, b)
+    r = data.agg(F.avg(e * w).alias("ew"), F.avg(w * w).alias("ww")).first()
+    if r["ww"] is None:
+        raise ValueError("no rows to search a step on")
+    linear = 2.0 * (r["ew"] - lam * _dot(beta, grad))
+    square = r["ww"] + lam * _dot(grad, grad)
+    return _backtrack(lambda t: t * linear + t * t * square, _dot(grad, grad), a, b)
 
 
 # ---------------------------------------------------------------- R5
@@ -187,23 +188,26 @@ def ridge_train(data: DataFrame, lam: float = 0.0, max_iter: int = 100, eps: flo
     else:
         raise ValueError("method must be 'gram' or 'pass'")
 
-    g = fgrad(beta)
-    gnorm = math.sqrt(_dot(g, g))
-    k = 0
-    while k < max_iter and gnorm > eps:
-        if method == "gram":
-            # F(beta - s g) - F(beta) in closed form: no difference of large sums
-            curve = _dot(g, _matvec(st["xtx"], g)) / st["n"] + lam * _dot(g, g)
-            t = _backtrack(lambda s: s * s * curve - s * _dot(g, g), 0.0, _dot(g, g))
-        else:
-            t = ridge_line_search(data, beta, g, lam, x, y)
-        beta = [p - t * q for p, q in zip(beta, g)]
-        g = fgrad(beta)
-        gnorm = math.sqrt(_dot(g, g))
-        k += 1
-    if method == "pass":
-        data.unpersist()
-    return beta, gnorm, k
+    def step(bt, gr):
+        if method == "pass":
+            return ridge_line_search(data, bt, gr, lam, x, y)
+        along, slope = _dot(st["mean_x"], gr), _dot(gr, gr)
+        curve = _dot(gr, _matvec(st["cov_xx"], gr)) + along * along + lam * slope
+        return _backtrack(lambda t: t * t * curve - t * slope, slope)
+
+    try:
+        for k in range(max_iter + 1):
+            g = fgrad(beta)
+            gnorm = math.sqrt(_dot(g, g))
+            if not math.isfinite(gnorm):
+                raise ValueError("the gradient is not finite")
+            if k == max_iter or gnorm <= eps:
+                return beta, gnorm, k
+            t = step(beta, g)
+            beta = [p - t * q for p, q in zip(beta, g)]
+    finally:
+        if method == "pass":
+            data.unpersist()
 
 
 def ridge_train_df(data: DataFrame, lam: float = 0.0, max_iter: int = 100, eps: float = 0.01,

@@ -1,16 +1,19 @@
 """Text scoring: tokenize, TF, IDF, TF-IDF, top terms, cosine similarity.
 
-All operators are narrow maps plus hash aggregations (partial aggregation on
+Corpus statistics sort each document's words before they are exploded and mark
+the first of equal ones, so that term and document frequency are two sums of
+one aggregation by term.  All operators are narrow maps plus hash aggregations (partial aggregation on
 the map side, so a frequent term never lands whole in one task) and equi-joins
 on ``term``.  Nothing is collected to the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.expr import letters_only, split_words
+from tessera.plans.iterate import checkpoint
 
 
 def tokenize(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
@@ -43,27 +46,33 @@ def inverse_document_frequency(docs: DataFrame, tokens: DataFrame, doc: str = "d
     return dfreq.select(term, F.log(n_docs / F.col("df")).alias("idf"))
 
 
-def term_stats(docs: DataFrame, tokens: DataFrame, by: tuple[str, ...] = (),
-               doc: str = "doc_id", term: str = "term") -> DataFrame:
-    """T2 + T3 fused: (by..., term, tf, df, idf) from a single tokenization.
+def _marked_tokens(docs: DataFrame, text: str, keep: tuple[str, ...], term: str) -> DataFrame:
+    """(keep..., term, _first): one row per token, ``_first`` is 1 for one of
+    the equal tokens of a row and 0 for the others.  A map without a shuffle:
+    the words of a row are sorted, and a word is new where the one before differs."""
+    words = F.array_sort(F.filter(F.transform(split_words(F.col(text)), letters_only), lambda w: w != ""))
+    rows = docs.select(*keep, words.alias("_words"))
+    before = F.concat(F.array(F.lit("")), F.col("_words"))   # one longer: the last pair is cut off
+    pairs = F.filter(F.arrays_zip(F.col("_words").alias("w"), before.alias("b")), lambda p: p["w"].isNotNull())
+    return (rows.select(*keep, F.explode(pairs).alias("_p"))
+            .select(*keep, F.col("_p.w").alias(term), (F.col("_p.w") != F.col("_p.b")).cast("int").alias("_first")))
 
-    Tokens are first counted per (doc, term) -- partial aggregation shrinks
-    them on the map side -- and that one table yields both the raw count
-    (sum) and the document frequency (row count) per term, so the corpus is
-    tokenized once and shuffled twice (instead of tokenized once per statistic).
-    ``by`` groups the statistics (e.g. per language); idf always uses N = all
-    documents of ``docs``.
+
+def term_stats(docs: DataFrame, by: tuple[str, ...] = (), text: str = "text", term: str = "term") -> DataFrame:
+    """T2 + T3 fused: (by..., term, tf, df, idf) from one tokenization and one shuffle.
+
+    Every row of ``docs`` is a document.  ``by`` groups the statistics (e.g. per
+    language); idf always uses N = all documents of ``docs``.
     """
     n_docs = docs.select(F.count(F.lit(1))).scalar()
-    per_doc = tokens.groupBy(doc, *by, term).agg(F.count(F.lit(1)).alias("_c"))
-    return (per_doc.groupBy(*by, term)
-            .agg(F.sum("_c").alias("tf"), F.count(F.lit(1)).alias("df"))
+    return (_marked_tokens(docs, text, by, term).groupBy(*by, term)
+            .agg(F.count(F.lit(1)).alias("tf"), F.sum("_first").alias("df"))
             .withColumn("idf", F.log(n_docs / F.col("df"))))
 
 
-def corpus_tfidf(docs: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
-    """T4 over a whole corpus: (term, tf, idf, tfidf) with one tokenization."""
-    st = term_stats(docs, tokenize(docs, text, keep=(doc,)), doc=doc)
+def corpus_tfidf(docs: DataFrame, text: str = "text") -> DataFrame:
+    """T4 over a whole corpus: (term, tf, idf, tfidf) with one shuffle."""
+    st = term_stats(docs, text=text)
     return st.select("term", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
@@ -109,8 +118,7 @@ def cosine_similarity(a: DataFrame, b: DataFrame, by: tuple[str, ...] = (),
                                            F.sqrt(F.col("na") * nb)).alias("cosine"))
 
 
-def group_cosine_to_corpus(docs: DataFrame, group: str = "lang", text: str = "text",
-                           doc: str = "doc_id") -> DataFrame:
+def group_cosine_to_corpus(docs: DataFrame, group: str = "lang", text: str = "text") -> DataFrame:
     """T6 for every group of documents at once: cosine between the group's
     TF-IDF profile and the whole corpus's TF-IDF profile -> (group, cosine).
 
@@ -119,22 +127,20 @@ def group_cosine_to_corpus(docs: DataFrame, group: str = "lang", text: str = "te
     term, so bounded by the number of groups) adds the corpus tf and df; one
     aggregation per group gives the dot product and the group norm, and the
     corpus norm is summed over the first row of each term in the same pass.
+    The sums, one row per group, are written before the corpus norm is added up.
     """
-    from pyspark.sql import Window
     n_docs = docs.select(F.count(F.lit(1))).scalar()
-    toks = tokenize(docs, text, keep=(doc, group))
-    per_doc = toks.groupBy(doc, group, "term").agg(F.count(F.lit(1)).alias("_c"))
-    per_group = per_doc.groupBy(group, "term").agg(F.sum("_c").alias("tf_g"),
-                                                   F.count(F.lit(1)).alias("df_g"))
+    per_group = (_marked_tokens(docs, text, (group,), "term").groupBy(group, "term")
+                 .agg(F.count(F.lit(1)).alias("tf_g"), F.sum("_first").alias("df_g")))
     w = Window.partitionBy("term")
     idf = F.log(n_docs / F.sum("df_g").over(w))
     scored = per_group.select(
         group, (F.col("tf_g") * idf).alias("a"), (F.sum("tf_g").over(w) * idf).alias("b"),
         (F.row_number().over(w.orderBy(group)) == 1).alias("first"))
-    agg = scored.groupBy(group).agg(
+    agg = checkpoint(scored.groupBy(group).agg(
         F.sum(F.col("a") * F.col("b")).alias("dot"), F.sum(F.col("a") * F.col("a")).alias("na"),
-        F.sum(F.when(F.col("first"), F.col("b") * F.col("b")).otherwise(0.0)).alias("_nb"))
-    nb = F.sum("_nb").over(Window.partitionBy())   # one row per group: bounded
+        F.sum(F.when(F.col("first"), F.col("b") * F.col("b")).otherwise(0.0)).alias("_nb")))
+    nb = agg.select(F.sum("_nb")).scalar()
     return agg.select(group, F.try_divide(F.col("dot"), F.sqrt(F.col("na") * nb)).alias("cosine"))
 
 

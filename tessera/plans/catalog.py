@@ -57,9 +57,7 @@ def q_doc_term_frequency(spark, d):
 
 @query("inverse_document_frequency")
 def q_idf(spark, d):
-    docs = S.documents(spark, d)
-    idf = T.inverse_document_frequency(docs, T.tokenize(docs))
-    return idf.select("term", r6(F.col("idf")).alias("idf"))
+    return T.term_stats(S.documents(spark, d)).select("term", r6(F.col("idf")).alias("idf"))
 
 
 @query("tfidf")
@@ -625,3 +623,95 @@ def q_mf_save_profiles(spark, d):
     IO.save_profiles(V, base + "_V")
     U2, V2 = IO.load_profiles(spark, base + "_U"), IO.load_profiles(spark, base + "_V")
     return _long(U2, "U").unionByName(_long(V2, "V"))
+
+
+# ======================================================== stored tables, files
+def _scratch(spark, name):
+    return os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def _stored_profiles(spark, d):
+    """TF per language and IDF as stored tables, and the TF-IDF join of both."""
+    docs = S.documents(spark, d)
+    tf, idf = _scratch(spark, "tf"), _scratch(spark, "idf")
+    T.term_frequency(T.tokenize(docs, keep=("lang",)), by=("lang",)).write.parquet(tf)
+    T.write_scores(T.term_stats(docs), idf, val="idf")
+    return T.tfidf(spark.read.parquet(tf), T.read_scores(spark, idf).withColumnRenamed("val", "idf"))
+
+
+@query("tfidf_tables")
+def q_tfidf_tables(spark, d):
+    """TF-IDF of every language from a stored TF table and a stored IDF table."""
+    return _stored_profiles(spark, d).select("lang", "term", "tf", r6(F.col("tfidf")).alias("tfidf"))
+
+
+@query("cosine_tables")
+def q_cosine_tables(spark, d):
+    """Cosine of each language's stored scores with the corpus's stored scores."""
+    path = _scratch(spark, "scores")
+    T.write_scores(_corpus_tfidf(spark, d), path, val="tfidf")
+    each = _stored_profiles(spark, d).select("lang", "term", F.col("tfidf").alias("val"))
+    sim = T.cosine_similarity(each, T.read_scores(spark, path), by=("lang",))
+    return sim.select("lang", r6(F.col("cosine")).alias("cosine"))
+
+
+@query("text_files")
+def q_text_files(spark, d):
+    """Write every document as a text file of its own, read the folder back as
+    documents, and return their term counts."""
+    path = _scratch(spark, "texts")
+    S.documents(spark, d).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).write.partitionBy("doc_id").text(path)
+    back = IO.read_text_files(spark, path).select(
+        F.regexp_extract("path", r"doc_id=(\d+)/", 1).cast("bigint").alias("doc_id"), "text")
+    return T.term_frequency(T.tokenize(back), by=("doc_id",))
+
+
+@query("interactions_header")
+def q_interactions_header(spark, d):
+    """Write the ratings as CSV with a header line and read them back."""
+    path = _scratch(spark, "ratings")
+    IO.write_interactions(S.ratings(spark, d), path, header=True)
+    back = IO.read_interactions(spark, path, header=True)
+    return back.select("user", "item", r6(F.col("rating")).alias("rating"))
+
+
+@query("item_cf_per_rating_lists")
+def q_item_cf_per_rating_lists(spark, d):
+    """The merged lists themselves: (user, src_item, item, score, rank)."""
+    train, _ = _split(spark, d)
+    recs = C.item_cf_recommend_per_rating(train, C.item_similarity(train), ITEM_K, TOP_N)
+    return recs.select("user", "src_item", "item", r6(F.col("score")).alias("score"), "rank")
+
+
+@query("node_color_join")
+def q_node_color_join(spark, d):
+    """Nodes with their colours in a graph and in the same graph without one edge."""
+    e = S.part_supplier(spark, d)
+    return G.node_color_join(G.wl_coloring(e), G.wl_coloring(S.drop_one_edge(e)))
+
+
+@query("sparse_model_roundtrip")
+def q_sparse_model_roundtrip(spark, d):
+    """Margins of the labelled documents under a sparse model saved and loaded."""
+    x, y = _sparse(spark, d)
+    path = _scratch(spark, "sparse-beta")
+    IO.save_sparse_model(_beta_hash(x), path)
+    return L.sparse_dot(x, IO.load_sparse_model(spark, path), y).select("row_id", r6(F.col("z")).alias("z"))
+
+
+@query("one_hot")
+def q_one_hot(spark, d):
+    """Customers' segment and nation as features, a positive balance as the label."""
+    rows = S.table(spark, d, "customer").select(
+        F.col("c_custkey").alias("row_id"), "c_mktsegment", "c_nationkey",
+        F.when(F.col("c_acctbal") > 0, "credit").otherwise("debit").alias("balance"))
+    x, y = IO.one_hot(rows, "balance", "credit")
+    return x.join(y, "row_id").select("row_id", "feature", "value", "y")
+
+
+@query("ridge_train_pass")
+def q_ridge_train_pass(spark, d):
+    """The same descent as ridge_train with two passes over the data a step."""
+    m = R.ridge_train_df(S.price_rows(spark, d), lam=RIDGE_LAM, max_iter=100, eps=0.01, method="pass")
+    return m.select("idx", r6(F.col("beta")).alias("beta"), r6(F.col("grad_norm")).alias("grad_norm"),
+                    "iterations")

@@ -478,10 +478,8 @@ def _():
     return f"WITH {item_recs_sql()} {POPULARITY}"
 
 
-@sql("item_cf_per_rating")
-def _():
-    return f"""WITH {ITEM_SIM},
-nb_i AS (SELECT i, j, sim FROM (SELECT i, j, sim, row_number() OVER (
+#: The lists per rating, merged per user; follows ITEM_SIM.
+PER_RATING = """nb_i AS (SELECT i, j, sim FROM (SELECT i, j, sim, row_number() OVER (
   PARTITION BY i ORDER BY round(sim, 9) DESC, j ASC) AS nrank FROM sim_i) WHERE nrank <= 40),
 cand AS (SELECT t."user", t.item AS src_item, nb.j AS item, nb.sim * t.rating AS score
   FROM train t JOIN nb_i nb ON t.item = nb.i WHERE nb.j <> t.item),
@@ -489,7 +487,12 @@ per_row AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY "user", src
   ORDER BY round(score, 6) DESC, item ASC) AS r FROM cand) WHERE r <= 10),
 recs AS (SELECT * FROM (SELECT "user", src_item, item, score, row_number() OVER (
   PARTITION BY "user" ORDER BY round(score, 6) DESC, item ASC, src_item ASC) AS rank
-  FROM per_row) WHERE rank <= 10),
+  FROM per_row) WHERE rank <= 10)"""
+
+
+@sql("item_cf_per_rating")
+def _():
+    return f"""WITH {ITEM_SIM}, {PER_RATING},
 test_items AS (SELECT DISTINCT "user", item FROM test),
 rusers AS (SELECT DISTINCT "user" FROM recs)
 SELECT (SELECT count(*) FROM recs r JOIN test_items t USING ("user", item))::BIGINT AS hits,
@@ -1019,3 +1022,58 @@ train_rows AS (SELECT x0, x1, x2, y FROM keyed WHERE fold <> 0)"""
     tail = ("SELECT round(avg(power(y - (0.0 + x0 * b0 + x1 * b1 + x2 * b2), 2)) + 0.0, 6) AS mse "
             "FROM keyed, fin WHERE fold = 0")
     return ridge_train_sql(src=src, tail=tail)
+
+
+# ------------------------------------------------------ stored tables, files
+@sql("tfidf_tables")
+def _():
+    return f"""WITH {CORPUS_TFIDF},
+lang_tf AS (SELECT lang, term, count(*)::BIGINT AS tf FROM tokens GROUP BY lang, term)
+SELECT lang, term, tf, round(tf * idf, 6) AS tfidf FROM lang_tf JOIN idf USING (term)"""
+
+
+@sql("text_files")
+def _():
+    return ORACLE["doc_term_frequency"]
+
+
+@sql("interactions_header")
+def _():
+    return ORACLE["read_interactions"]
+
+
+@sql("cosine_tables")
+def _():
+    return ORACLE["cosine_similarity"]
+
+
+@sql("sparse_model_roundtrip")
+def _():
+    return ORACLE["sparse_dot"]
+
+
+@sql("ridge_train_pass")
+def _():
+    return ORACLE["ridge_train"]
+
+
+@sql("item_cf_per_rating_lists")
+def _():
+    return f"""WITH {ITEM_SIM}, {PER_RATING}
+SELECT "user", src_item, item, round(score, 6) AS score, rank FROM recs"""
+
+
+@sql("node_color_join")
+def _():
+    return f"""WITH {PART_SUPPLIER}, {drop_one_edge_sql('g1', 'part_supplier')},
+{wl_sql('part_supplier', p='wa')},
+{wl_sql('g1', p='wb')}
+SELECT node, wa_out.color AS color_1, wb_out.color AS color_2 FROM wa_out JOIN wb_out USING (node)"""
+
+
+@sql("one_hot")
+def _():
+    return """SELECT row_id, feature, 1.0::DOUBLE AS value, CASE WHEN balance > 0 THEN 1 ELSE -1 END AS y FROM (
+  SELECT c_custkey AS row_id, 'c_mktsegment=' || c_mktsegment AS feature, c_acctbal AS balance FROM customer
+  UNION ALL SELECT c_custkey, 'c_nationkey=' || c_nationkey::VARCHAR, c_acctbal FROM customer)
+WHERE feature IS NOT NULL"""

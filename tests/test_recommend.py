@@ -146,3 +146,15 @@ def test_malformed_lines_fail_the_read(spark, tmp_path):
         p.write_text(f"1,2,3.0\n{bad}\n")
         with pytest.raises(Exception, match="bad "):
             IO.read_interactions(spark, str(p)).collect()
+
+
+def test_sample_first_cuts_sorted_partitions(spark):
+    """Any n, ties and repeated rows included, without one task for the n rows."""
+    rows = [((i * 7919) % 40, (i * 31) % 17, float(i % 5)) for i in range(600)]
+    df = spark.createDataFrame(rows, "user BIGINT, item BIGINT, rating DOUBLE").repartition(5)
+    for n in (0, 1, 37, 299, 600, 1000):
+        s = C.sample_first(df, n)
+        assert sorted(tuple(r) for r in s.collect()) == sorted(rows)[:n]
+        plan = s._jdf.queryExecution().executedPlan().toString()
+        assert "Limit" not in plan and "TakeOrdered" not in plan
+    assert C.sample_first(df.limit(0), 5).collect() == []

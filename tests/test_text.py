@@ -43,3 +43,44 @@ def test_scores_roundtrip(spark, tmp_path):
     s = spark.createDataFrame([("a", 1.5)], "term STRING, val DOUBLE")
     T.write_scores(s, str(tmp_path / "s"))
     assert T.read_scores(spark, str(tmp_path / "s")).collect()[0].val == 1.5
+
+
+def _final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0]
+
+
+def test_corpus_statistics_take_one_shuffle_by_term(spark, sf):
+    """Scalar N apart, the corpus is exchanged once, after map-side combining."""
+    from tessera.sources import tables as S
+    docs = S.documents(spark, sf)   # dealt to several tasks
+    plan = _final_plan(T.corpus_tfidf(docs))
+    assert plan.count("Exchange hashpartitioning") == 1 and "Window" not in plan
+
+
+def test_corpus_statistics_equal_plain_counts(spark):
+    import collections
+    texts = ["b a  a c", "", None, "a!! 'a b", "zz zz zz"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id BIGINT, text STRING")
+    words = [["".join(c for c in w if c.isalpha()) for w in (t or "").split()] for t in texts]
+    tf = collections.Counter(w for ws in words for w in ws)
+    df = collections.Counter(w for ws in words for w in set(ws))
+    got = {r.term: (r.tf, r.df, r.idf) for r in T.term_stats(docs).collect()}
+    assert got == {w: (tf[w], df[w], math.log(5 / df[w])) for w in tf}
+    assert T.term_stats(docs.limit(0)).collect() == []
+
+
+def test_two_table_tfidf_drops_or_keeps_unknown_terms(spark):
+    tf = spark.createDataFrame([("x", 2), ("y", 3)], "term STRING, tf BIGINT")
+    idf = spark.createDataFrame([("x", 0.5)], "term STRING, idf DOUBLE")
+    assert [(r.term, r.tfidf) for r in T.tfidf(tf, idf).collect()] == [("x", 1.0)]
+    assert {r.term: r.tfidf for r in T.tfidf(tf, idf, strict=True).collect()} == {"x": 1.0, "y": None}
+
+
+def test_text_files_are_documents(spark, tmp_path):
+    from tessera.sources import files as IO
+    (tmp_path / "in").mkdir()
+    for name, text in (("a.txt", "one two\nthree\n"), ("in/b.txt", "four"), ("c.txt", " \n"), ("d.txt", "")):
+        (tmp_path / name).write_text(text)
+    got = {r.path.rsplit("/", 1)[1]: r.text for r in IO.read_text_files(spark, str(tmp_path)).collect()}
+    assert got == {"a.txt": "one two\nthree\n", "b.txt": "four", "c.txt": " \n"}
