@@ -14,10 +14,13 @@ back to the outermost text.  Spans of the text itself are never removed.
 
 Defined cases: a null text counts as empty; no match gives the SHA-256 of the
 empty string and an empty ``spans``; texts are scanned whole; a decoded stream
-beyond ``MAX_INFLATED`` bytes is counted by ``n_bombs`` and scanned in slices cut
-where no pattern can match (a further compressed stream inside it is followed
-to the end of its slice); repeated rows are scanned each; further columns are
-ignored.
+beyond ``MAX_INFLATED`` bytes is counted by ``n_bombs`` and scanned in slices of
+``_SLICE`` bytes that overlap by ``_OVERLAP``, so its size costs no memory; only
+the kinds inside a stream matter, and each needs a short stretch of it (spaces
+around an ``=`` apart, which are collapsed).  A further compressed stream that
+outlasts its slice, plain or below base64 and escapes, is read by inflating the
+outer one again up to it, so it is followed to its end at any depth.  Repeated
+rows are scanned each; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from __future__ import annotations
 import base64
 import bisect
 import bz2
+import codecs
 import functools
 import hashlib
 import itertools
@@ -40,7 +44,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import map_rows, text_or_empty
 
 KINDS = ("assign", "access", "hex")
-MAX_INFLATED = 64 << 20
+MAX_INFLATED = 8 << 20
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                      re.IGNORECASE | re.ASCII)
 _WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -61,13 +65,16 @@ _HEX2 = re.compile(r"[0-9A-Fa-f]{2}")
 _ZLIB = {bytes((c, f)) for c in range(0x08, 0x80, 0x10) for f in range(256) if not f & 32 and (c * 256 + f) % 31 == 0}
 _MAGIC = re.compile(rb"\x1f\x8b\x08|BZh[1-9]|\xfd7zXZ\x00|\x28\xb5\x2f\xfd|" + b"|".join(map(re.escape, sorted(_ZLIB))),
                     re.DOTALL)
-#: Bytes that are part of no pattern, escape or base64 run.
-_BREAK = re.compile(rb"[\x00-\x08\x0b\x0c\x0e-\x1f!$()*,<>?@\[\]^`{|}~\x7f]")
+#: An assignment long enough, in a stream whose spaces are collapsed.
+_ASSIGNED = re.compile(rb"""(?i:password|passwd|secret|token|api_?key)["']?\x20?[:=]\x20?["']?[A-Za-z0-9+/_.=-]{6}""")
+_SPACES = re.compile(rb"\x20{2,}")
+_FOREIGN = re.compile(rb"[^A-Za-z0-9+/_\- \t\r\n]")
+_URLSAFE = bytes.maketrans(b"-_", b"+/")
 _ZSTD = type(zstandard.ZstdDecompressor().decompressobj())
 #: Characters that text does not hold: control characters, and bytes that are not UTF-8.
 _ODD = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f\udc80-\udcff]")
 _POINTS = {0xDC00 + i: i for i in range(128, 256)}
-_IN, _OUT, _SLICE = 1 << 16, 1 << 20, 16 << 20
+_IN, _OUT, _SLICE, _OVERLAP = 1 << 16, 1 << 20, 4 << 20, 1 << 19
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
@@ -116,10 +123,12 @@ def _widths(text: str) -> np.ndarray:
 class _Layer:
     """A text and, per character, the interval it stands for (``starts`` None:
     the character itself) in the original, or in what ``parent`` places there.
-    ``sure``: no part of it was decoded from a guessed start."""
+    ``sure``: no part of it was decoded from a guessed start.  ``rest``: where
+    the text is a slice, the bytes from a character on, to the end of the stream."""
 
-    def __init__(self, text, starts=None, ends=None, parent=None, sure=True):
+    def __init__(self, text, starts=None, ends=None, parent=None, sure=True, rest=None):
         self.text, self.starts, self.ends, self.parent, self.sure = text, starts, ends, parent, sure
+        self.rest = rest
 
     def _inner(self, s: int, e: int) -> tuple[int, int]:
         if self.starts is None:
@@ -161,22 +170,26 @@ class _Layer:
             return None
         copy(at, len(self.text))
         text = "".join(parts)
+        place, hi = np.concatenate(lo), np.concatenate(hi)
+        rest = self.rest and (lambda c: _unescaped(self.rest(int(place[c])), pattern, decode))
         if isinstance(self.parent, _Fixed):
-            return _Layer(text, None, None, self.parent, self.sure)
-        lo, hi = np.concatenate(lo), np.concatenate(hi)
+            return _Layer(text, None, None, self.parent, self.sure, rest)
+        lo = place
         if self.starts is not None:
-            lo, hi = self.starts[lo], self.ends[np.maximum(hi - 1, 0)]
-        return _Layer(text, lo, hi, self.parent, self.sure)
+            lo, hi = self.starts[place], self.ends[np.maximum(hi - 1, 0)]
+        return _Layer(text, lo, hi, self.parent, self.sure, rest)
 
     def streams(self, memo: dict, above: tuple):
         """(interval, kinds, bombs) of every compressed stream among the bytes this layer stands for."""
         raw = self.text.encode("utf-8", "surrogateescape")
-        for s, e, kinds, bombs in _streams(raw, memo, above):
+        rest = self.rest and (lambda b: self.rest(len(raw[:b].decode("utf-8", "surrogateescape"))))
+        for s, e, kinds, bombs in _streams(raw, memo, above, rest):
             at = np.searchsorted(_widths(self.text), [s, e])
             yield self.span(int(at[0]), max(int(at[0]) + 1, int(at[1]))), kinds, bombs
         if any("\x80" <= c <= "\xff" for c in set(self.text)):  # code points that stand for bytes
             code = self.text.translate(_POINTS).encode("latin-1", "replace")
-            for s, e, kinds, bombs in _streams(code, memo, above):
+            rest = self.rest and (lambda b: _as_codes(self.rest(b)))
+            for s, e, kinds, bombs in _streams(code, memo, above, rest):
                 yield self.span(s, e), kinds, bombs
 
 
@@ -226,6 +239,19 @@ class _Decoded:
         self.layer, self.run, self.offset = layer, run, offset
         self.raw = _base64_bytes(run.body[offset:])
         self.text = _text(self.raw)
+        # a run that stands at the end of a slice goes on after it
+        tail = len(layer.text) - run.end
+        goes_on = layer.rest is not None and tail < 256 and not layer.text[run.end:].strip()
+        self.rest = self._rest if goes_on else None
+
+    def _rest(self, byte: int):
+        """The bytes from ``byte`` on, to the end of the run in the whole stream."""
+        at = self.run.place(self.offset + byte // 3 * 4)
+        return _skip(_unbase64(self.layer.rest(at)), byte % 3)
+
+    def as_layer(self) -> _Layer:
+        rest = self.rest and (lambda c: self.rest(int(self.widths[c])))
+        return _Layer(self.text, None, None, self, False, rest)
 
     @functools.cached_property
     def widths(self) -> np.ndarray:
@@ -267,25 +293,91 @@ class _Decoded:
         return self.layer.span(run.place(start), run.end if end == len(run.body) else run.place(end - 1) + 1)
 
 
+def _skip(chunks, n: int):
+    """The stream without its first ``n`` bytes."""
+    for c in chunks:
+        if n < len(c):
+            yield c[n:] if n else c
+        n = max(0, n - len(c))
+
+
+def _unbase64(chunks):
+    """Base64 characters as bytes, up to the first that is neither one nor white space."""
+    held = b""
+    for c in chunks:
+        c = bytes(c)
+        end = _FOREIGN.search(c)
+        held += b"".join((c[:end.start()] if end else c).split())
+        whole = len(held) - len(held) % 4
+        if whole:
+            yield base64.b64decode(held[:whole].translate(_URLSAFE))
+            held = held[whole:]
+        if end:
+            break
+    if len(held) > 1:
+        yield base64.b64decode(held.translate(_URLSAFE) + b"=" * (4 - len(held)))
+
+
+def _unescaped(chunks, pattern: re.Pattern, decode):
+    """The stream with every decodable run replaced; an escape, at most ten
+    characters, is never parted."""
+    utf8, held = codecs.getincrementaldecoder("utf-8")("surrogateescape"), ""
+    for c in itertools.chain(chunks, (None,)):
+        text = held + (utf8.decode(b"", True) if c is None else utf8.decode(bytes(c)))
+        cut = len(text)
+        if c is not None:
+            cut = min((i for m in "%\\&" if (i := text.find(m, max(0, cut - 16))) >= 0), default=cut)
+        held, done = text[cut:], []
+        at = 0
+        for m in pattern.finditer(text[:cut]):
+            if (out := decode(m[0])) is not None:
+                done += (text[at:m.start()], out)
+                at = m.end()
+        yield "".join((*done, text[at:cut])).encode("utf-8", "surrogateescape")
+
+
+def _as_codes(chunks):
+    """UTF-8 whose code points stand for bytes, as those bytes."""
+    utf8 = codecs.getincrementaldecoder("utf-8")("surrogateescape")
+    for c in chunks:
+        yield utf8.decode(bytes(c)).translate(_POINTS).encode("latin-1", "replace")
+
+
+def _pieces(raw: bytes, at: int):
+    view = memoryview(raw)
+    for s in range(at, len(raw), _IN):
+        yield view[s:s + _IN]
+
+
 class _Members:
-    """The members or frames at ``at``, one after the other, as chunks of
-    output; ``end`` is then the place after the last one that gave any."""
+    """The members or frames at the start of a stream, one after the other, as
+    chunks of output; ``end`` is then the place after the last one that gave
+    any, and ``cut`` whether the input ended inside one."""
 
-    def __init__(self, raw: bytes, at: int):
-        self.raw, self.end = memoryview(raw), at
+    def __init__(self, chunks):
+        self.chunks, self.end, self.cut = iter(chunks), 0, False
+        self._held = memoryview(b"")
+
+    def _take(self, n: int) -> memoryview:
+        """Input at hand, ``n`` bytes or more unless the stream ends."""
+        while len(self._held) < n and (c := next(self.chunks, None)) is not None:
+            self._held = memoryview(bytes(self._held) + bytes(c) if len(self._held) else c)
+        return self._held
 
     def __iter__(self):
+        at = 0
         try:
-            while (d := _decoder(bytes(self.raw[self.end:self.end + 6]))) is not None:
+            while (d := _decoder(bytes(self._take(6)[:6]))) is not None:
                 # a zstd object takes no limit of output: its input is kept short
                 step, most = (_IN, (_OUT,)) if not isinstance(d, _ZSTD) else (256, ())
-                at, data = self.end, b""
+                data = b""
                 while not d.eof:
                     if not data and getattr(d, "needs_input", True):
-                        data = self.raw[at:at + step]
+                        data = self._take(1)[:step]
+                        self._held = self._held[len(data):]
                         at += len(data)
                         if not data:  # a cut stream: what it held so far counts
-                            self.end = at
+                            self.end, self.cut = at, True
                             if hasattr(d, "flush") and (out := d.flush()):
                                 yield out
                             return
@@ -294,7 +386,9 @@ class _Members:
                     if out:
                         self.end = max(self.end, at - len(data))
                         yield out
-                self.end = at - len(d.unused_data)
+                at -= len(d.unused_data)
+                self._held = memoryview(bytes(d.unused_data) + bytes(self._held))
+                self.end = at
         except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError):
             return
 
@@ -313,50 +407,81 @@ def _decoder(head: bytes):
     return None
 
 
-def _streams(raw: bytes, memo: dict, above: tuple):
-    """(start, end, kinds of secrets inside, bombs) of every compressed stream in ``raw``."""
-    found, at = memo.get(raw), 0
+def _streams(raw: bytes, memo: dict, above: tuple, rest=None):
+    """(start, end, kinds of secrets inside, bombs) of every compressed stream
+    in ``raw``.  With ``rest``, ``raw`` is a slice: a stream that outlasts it is
+    read on, and the last bytes are left to the next slice, which repeats them."""
+    key = hashlib.sha256(raw).digest() if rest is None and _MAGIC.search(raw) else None
+    found, at = memo.get(key), 0
     if found is None:
-        found = []
-        while (m := _MAGIC.search(raw, at)) is not None:
-            members = _Members(raw, m.start())
-            kinds, bombs = _inside(members, memo, above)
+        found, until = [], len(raw) - (_OVERLAP // 16 if rest else 0)
+        while (m := _MAGIC.search(raw, at)) is not None and m.start() < until:
+            start, made, outlasts = m.start(), [], False
+            if rest:
+                probe = _Members(_pieces(raw, start))
+                for _ in probe:
+                    pass
+                outlasts = probe.cut
+
+            def source():
+                members = _Members(rest(start) if outlasts else _pieces(raw, start))
+                made or made.append(members)  # the first one is read to its end
+                return members
+
+            kinds, bombs = _inside(source, memo, above)
+            end = min(len(raw), start + made[0].end)
             if kinds or bombs:
-                found.append((m.start(), members.end, kinds, bombs))
-                at = max(members.end, m.start() + 1)
+                found.append((start, end, kinds, bombs))
+                at = max(end, start + 1)
             else:
-                at = m.start() + 1
-        if at and None not in memo:
-            memo[raw] = found
+                at = start + 1
+        if key and None not in memo:
+            memo[key] = found
     return found
 
 
-def _inside(members: _Members, memo: dict, above: tuple) -> tuple[frozenset, int]:
-    """The kinds of secrets in a stream, at any depth, and the bombs in it.  A
-    stream beyond ``MAX_INFLATED`` is scanned in slices cut where no pattern can match."""
-    kinds, bombs, kept, total = set(), 0, bytearray(), 0
+def _inside(source, memo: dict, above: tuple) -> tuple[frozenset, int]:
+    """The kinds of secrets in a stream, at any depth, and the bombs in it.
+    ``source()`` gives its chunks, from the start at each call."""
+    kinds, bombs, kept, total, base, open_end = set(), 0, bytearray(), 0, 0, b""
 
-    def look(part: bytes):
+    def look(part: bytes, rest=None):
         nonlocal bombs
-        if part in above:  # a stream that holds itself adds nothing
+        if not part:
+            return
+        key = hashlib.sha256(part).digest()
+        if key in above:  # a stream that holds itself adds nothing
             memo[None] = True  # what is found below is not the whole of each stream: no longer kept
-        elif part:
-            chain = (*above, part)
-            inner, deeper = _find(_text(part), memo, chain)[1:]
-            kinds.update(k for k, _, _ in inner)
-            bombs += deeper
-            for _, _, k, n in _streams(part, memo, chain):
-                kinds.update(k)
-                bombs += n
-
-    for out in members:
+            return
+        known, read_on = memo.get(("slice", key)), []
+        if known is None:
+            chain, mine, n = (*above, key), set(), 0
+            follow = rest and (lambda b: read_on.append(b) or rest(b))
+            inner, n = _find(_text(part), memo, chain, follow)[1:]
+            mine.update(k for k, _, _ in inner)
+            for _, _, k, deeper in _streams(part, memo, chain, follow):
+                mine.update(k)
+                n += deeper
+            known = mine, n
+            if rest and not read_on and None not in memo:  # equal slices of a bomb are scanned once
+                memo["slice", key] = known
+        kinds.update(known[0])
+        bombs += known[1]
+
+    for out in source():
         total += len(out)
         kept += out
-        if total > MAX_INFLATED and len(kept) >= _SLICE:
-            cut = next((m.end() for m in _BREAK.finditer(kept, max(0, len(kept) - _OUT))), 0)
-            if cut:
-                part, kept = bytes(kept[:cut]), kept[cut:]
-                look(part.rstrip(b"\0"))
+        if total > MAX_INFLATED:
+            open_end = _SPACES.sub(b" ", open_end + (out if open_end else bytes(kept)))
+            low = open_end.lower() if "assign" not in kinds else b""
+            if any(w.encode() in low for w in _WORDS) and _ASSIGNED.search(low):
+                kinds.add("assign")
+            open_end = open_end[-64:]
+            while len(kept) >= _SLICE:
+                part = bytes(kept[:_SLICE])
+                look(part, functools.partial(lambda at, b: _skip(source(), at + b), base))
+                del kept[:_SLICE - _OVERLAP]
+                base += _SLICE - _OVERLAP
     look(bytes(kept))
     return frozenset(kinds), bombs + (total > MAX_INFLATED)
 
@@ -371,10 +496,11 @@ def find_spans(text: str) -> tuple[list[tuple[str, int, int]], set[tuple[str, in
     return _find(text, {}, ())
 
 
-def _find(text: str, memo: dict, above: tuple):
+def _find(text: str, memo: dict, above: tuple, rest=None):
     base = scan(text)
     spans = set(base)
-    work, seen, bombs = [_Layer(text)], set(), 0
+    onward = rest and (lambda c: rest(len(text[:c].encode("utf-8", "surrogateescape"))))
+    work, seen, bombs = [_Layer(text, rest=onward)], set(), 0
 
     def push(layer):
         if layer is None or not layer.text:
@@ -417,13 +543,13 @@ def _find(text: str, memo: dict, above: tuple):
                 out = _text(_base64_bytes(body)) if len(body) % 4 != 1 else ""
                 if out and not _ODD.search(out):  # a line that is text as a whole
                     push(_Layer(out, None, None, _Fixed(layer.exact(*p.span()), layer.span(*p.span())), layer.sure))
-                    clean = clean or len(body) == len(run.body)
+                    clean = clean or len(body) == len(run.body) and layer.rest is None
             for offset in range(4):
                 inner = _Decoded(layer, run, offset)
-                for s, e, kinds, n in _streams(inner.raw, memo, above):
+                for s, e, kinds, n in _streams(inner.raw, memo, above, inner.rest):
                     add(layer.span(*inner.place(s, e)), kinds, n)
                 if offset or not clean:
-                    push(_Layer(inner.text, None, None, inner, False))
+                    push(inner.as_layer())
     known = {k: sorted(v) for k, v in whole.items()}
     reach = {k: list(itertools.accumulate((e for _, e in v), max)) for k, v in known.items()}
     for k, layer, s, e in guessed:

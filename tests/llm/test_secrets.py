@@ -106,14 +106,81 @@ def test_streams_in_escapes_are_inflated():
             assert run not in S.redact(f"<{run}>") and S.redact(f"<{run}>").startswith("<[SECRET]")
 
 
+def small_slices(monkeypatch):
+    for name, size in (("MAX_INFLATED", 3000), ("_SLICE", 1500), ("_OVERLAP", 600), ("_OUT", 100), ("_IN", 64)):
+        monkeypatch.setattr(S, name, size)
+
+
+def kinds_of(text):
+    return {k for k, _, _ in S.find_spans(text)[1]}
+
+
 def test_large_streams_are_scanned(monkeypatch):
-    monkeypatch.setattr(S, "MAX_INFLATED", 3000)
-    monkeypatch.setattr(S, "_SLICE", 1000)
-    monkeypatch.setattr(S, "_OUT", 100)
-    for before in range(2950, 4050, 7):
-        raw = b"a word, " * (before // 8) + b"." * (before % 8) + SECRET + b", a word" * 500
-        spans, bombs = S.find_spans(f"<{base64.b64encode(gzip.compress(raw)).decode()}>")[1:]
-        assert {k for k, _, _ in spans} == {"assign"} and bombs == 1
+    small_slices(monkeypatch)
+    for filler in (b"a word, ", b"A.", b"x"):
+        for before in range(2950, 4050, 13):
+            raw = (filler * before)[:before - 1] + b" " + SECRET + b" " + filler * 500
+            spans, bombs = S.find_spans(f"<{base64.b64encode(gzip.compress(raw)).decode()}>")[1:]
+            assert {k for k, _, _ in spans} == {"assign"} and bombs == 1, (filler, before)
+
+
+def test_spaces_of_any_length_in_large_streams(monkeypatch):
+    small_slices(monkeypatch)
+    raw = b"A." * 2000 + b"password" + b" " * 5000 + b"=" + b" " * 3000 + b"hunter2hunter2" + b"A." * 2000
+    assert kinds_of(f"<{base64.b64encode(gzip.compress(raw)).decode()}>") == {"assign"}
+
+
+def test_streams_that_outlast_their_slice_are_followed(monkeypatch):
+    """Nested streams of several slices, plain and below base64 and escapes, with the secret at their end."""
+    import random
+    small_slices(monkeypatch)
+    rng = random.Random(3)
+    noise = bytes(rng.randrange(256) for _ in range(9000))
+    wraps = {"plain": bytes, "base64": base64.b64encode, "lines": base64.encodebytes,
+             "percent": lambda b: "".join(f"%{x:02x}" for x in b).encode(),
+             "twice": lambda b: base64.b64encode(base64.b64encode(b)),
+             "code points": lambda b: "".join(f"\\u{x:04x}" for x in b).encode()}
+    for pack in (gzip.compress, bz2.compress, zstandard.compress):
+        inner = pack(noise + b" " + SECRET)
+        for name, wrap in wraps.items():
+            for before in (0, 1001, 3217):
+                outer = b"A." * (before // 2) + b"<" + wrap(inner) + b">" + b"B." * 100
+                assert kinds_of(f"<{base64.b64encode(gzip.compress(outer)).decode()}>") >= {"assign"}, (pack, name, before)
+                clean = b"A." * (before // 2) + b"<" + wrap(pack(b"A." * 3000)) + b">" + b"B." * 1000
+                assert kinds_of(f"<{base64.b64encode(gzip.compress(clean)).decode()}>") == set()
+    deep = gzip.compress(b"A." * 500 + gzip.compress(b"B." * 900 + gzip.compress(noise + SECRET) + noise) + noise)
+    assert kinds_of(f"<{base64.b64encode(deep).decode()}>") >= {"assign"}
+
+
+BOMB = """
+import base64, gzip, io, resource, sys, zlib
+sys.path.insert(0, sys.argv[1])
+from tessera.llm import secret_scan as S
+
+def packed(parts, level=9):
+    c = zlib.compressobj(level, zlib.DEFLATED, 31)
+    return b"".join([c.compress(p) for p in parts]) + c.flush()
+
+size = int(sys.argv[2])
+block = b"A." * (1 << 19)
+once = packed([block] * (size >> 20) + [b" password = hunter2hunter2"])
+stored = packed([once[i:i + 65536] for i in range(0, len(once), 65536)] + [block] * (size >> 20), 0 if len(once) > 1 << 19 else 9)
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+for raw in (once, stored):
+    base, spans, bombs = S.find_spans("<" + base64.b64encode(packed([raw])).decode() + ">")
+    assert {k for k, _, _ in spans} == {"assign"} and bombs >= 1, (spans, bombs)
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024, before // 1024)
+"""
+
+
+def test_streams_without_a_break_take_bounded_memory():
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", BOMB, root, str(200 << 20)], capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert int(out.stdout.split()[0]) < 1000
 
 
 def test_payloads_behind_other_characters():
