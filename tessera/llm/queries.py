@@ -67,7 +67,7 @@ ORACLE["op6_embedding_dedup"] = embedding_dedup.ORACLE
 def q_language_id(spark, sf_dir):
     """Predicted language of every text, learned from two thirds of the rows."""
     docs = documents(spark, sf_dir)
-    model = language_id.matrix(language_id.train(language_id.learned_rows(docs)))
+    model = language_id.blocks(language_id.train(language_id.learned_rows(docs)))
     return language_id.identify(docs, model)
 
 
