@@ -5,11 +5,12 @@ piece ends wherever the hash has k trailing zero bits, so boundaries depend on
 nearby bytes only and those of 2^(k+1) are a subset.  Each piece becomes one of
 64 characters.  A fingerprint is ``k:signature at 2^k:signature at 2^(k+1)``;
 k starts where about 64 pieces are expected and falls until there are at
-least 32 (or k is 2).  Two fingerprints are compared at a block size both
+least 32 (or k is 0).  Two fingerprints are compared at a block size both
 have: the edit distance (insertions and deletions, from a bit-parallel longest
-common subsequence) over their lengths, provided that they share a run of
-seven characters (the whole signature, if shorter), as chance alone makes
-signatures over 64 characters a fifth alike.
+common subsequence) over their lengths.  Where both have 16 characters or more
+they must also share a run of a third of the shorter one's, at most seven, as
+chance alone makes signatures over 64 characters a fifth alike; shorter ones
+are judged by the edit distance alone.
 
 ``fingerprint_documents`` also compares every document with an edited copy and
 with the next one by id.  Rows are range partitioned and sorted by id, so the
@@ -38,8 +39,8 @@ from tessera.llm.common import map_rows, stage, text_or_empty
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 WINDOW = 7
 PIECES = 64
-MIN_LEVEL = 2
-RUN = 7
+MIN_LEVEL = 0
+RUN, SHORT = 7, 16
 _SLICE = 1 << 20
 _TABLE = (np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.uint32)
 
@@ -90,7 +91,10 @@ def fingerprint(text: str) -> str:
 
 
 def _common_run(a: str, b: str) -> bool:
-    n = min(RUN, len(a), len(b))
+    shorter = min(len(a), len(b))
+    if shorter < SHORT:
+        return True
+    n = min(RUN, shorter // 3)
     runs = {a[i:i + n] for i in range(len(a) - n + 1)}
     return any(b[i:i + n] in runs for i in range(len(b) - n + 1))
 

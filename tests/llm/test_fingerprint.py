@@ -69,3 +69,14 @@ def test_compatible_block_sizes():
     text = "".join(rng.choice("abcdefgh ") for _ in range(9_000))
     a, b = P.fingerprint(text), P.fingerprint(text[:5_000])
     assert P.likeness(a, b) > 0.5 and P.likeness(a, P.fingerprint("short")) == 0.0
+
+
+def test_short_near_copies_are_alike():
+    """Texts of a few words: the edit distance alone decides, as three quarters stay."""
+    texts = ["a short text of nine words in a row", "tiny note", "one two three four five six", "ab cd ef gh ij kl mn"]
+    for t in texts:
+        a, b = P.fingerprint(t), P.fingerprint(P.edited(t, "ZZZZZZZZZZZZZZZZZZZZ"))
+        assert a == b or 0 < P.likeness(a, b) < 1
+    one, two = "ABCDEFGHIJKLMNOP", "ABCDE1FGHIJ2KLMN"
+    assert P.signature_likeness(one, two) > 0.8 and P.signature_likeness(one, one[::-1]) == 0.0
+    assert P.signature_likeness(one[:15], two) > 0.7
