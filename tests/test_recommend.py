@@ -158,3 +158,61 @@ def test_sample_first_cuts_sorted_partitions(spark):
         plan = s._jdf.queryExecution().executedPlan().toString()
         assert "Limit" not in plan and "TakeOrdered" not in plan
     assert C.sample_first(df.limit(0), 5).collect() == []
+
+
+def test_pair_counts_move_lists_and_split_hot_keys(spark):
+    """Small buckets, large groups in parts, hot members and small chunks give
+    the same counts; only lists are shuffled, never pairs."""
+    from tessera.plans import pairs as P
+    rows = sorted({(g, (g * 7 + i * i) % 23) for g in range(30) for i in range(g % 9 + 1)} | {(99, i) for i in range(23)})
+    groups, n = defaultdict(set), defaultdict(int)
+    for g, m in rows:
+        groups[g].add(m)
+        n[m] += 1
+    want = defaultdict(int)
+    for members in groups.values():
+        for a in members:
+            for b in members - {a}:
+                want[a, b] += 1
+    df = spark.createDataFrame(rows, "g INT, m BIGINT")
+    text = df.selectExpr("g", "concat('m', m) AS m")
+    for bucket, block, hot in ((10 ** 6, 4096, 10 ** 6), (40, 4, 10 ** 6), (40, 4, 8), (40, 4096, 0)):
+        spark.conf.set("tessera.pairs.bucket", bucket)
+        spark.conf.set("tessera.pairs.hot", hot)
+        try:
+            got = {(r.a, r.b): r.co for r in P.pair_counts(df, "g", "m", "a", "b", "co", block=block).collect()}
+            sims = P.pair_counts(text, "g", "m", "a", "b", "sim", normed=True, block=block).collect()
+        finally:
+            spark.conf.unset("tessera.pairs.bucket")
+            spark.conf.unset("tessera.pairs.hot")
+        assert got == want
+        assert {(int(r.a[1:]), int(r.b[1:])): r.sim for r in sims} == {
+            (a, b): c / (n[a] * n[b]) ** 0.5 for (a, b), c in want.items()}
+    plan = P.pair_counts(df, "g", "m", "a", "b", "co")._jdf.queryExecution().executedPlan().toString()
+    moved = [x for x in plan.splitlines() if "Exchange" in x]
+    assert moved and "MapInArrow" in plan and "Join" not in plan
+
+
+def test_pair_chunks_are_bounded_and_exact(monkeypatch):
+    import pyarrow as pa
+    from tessera.plans import pairs as P
+    lists = [[1, 2, 3, 4], [2, 3], [1, 3, 5], [3]]
+    batch = pa.RecordBatch.from_pydict({"a": [[1, 3], [3], [3, 5], [3]], "b": lists, "bn": [[7] * len(x) for x in lists]},
+                                       pa.schema([("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64())), ("bn", pa.list_(pa.int64()))]))
+    for chunk in (1 << 22, 9, 4, 1):
+        monkeypatch.setattr(P, "CHUNK", chunk)
+        got = [t for a, b, co, _, _ in P._met([batch]) for t in zip(a.to_pylist(), b.to_pylist(), co.tolist())]
+        assert sorted(got) == [(1, 2, 1), (1, 3, 1), (1, 4, 1), (3, 1, 2), (3, 2, 2), (3, 4, 1), (3, 5, 1), (5, 1, 1), (5, 3, 1)]
+
+
+def test_cut_to_nearest_keeps_each_first_k(spark):
+    from tessera.plans.pairs import cut_to_nearest
+    rows = [(a, b, ((a * 31 + b * 17) % 50) / 50) for a in range(6) for b in range(200)]
+    df = spark.createDataFrame(rows, "i BIGINT, j BIGINT, sim DOUBLE").repartition(3)
+    cut = cut_to_nearest(df, "i", "sim", 5, 2e-9)
+    assert cut.count() < len(rows) / 4
+
+    def first(d):
+        from tessera.plans.pairs import top_k_per_group
+        return sorted(tuple(r) for r in top_k_per_group(d, "i", [F.col("sim").desc(), F.col("j")], 5).collect())
+    assert first(cut) == first(df)
