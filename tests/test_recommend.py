@@ -216,3 +216,24 @@ def test_cut_to_nearest_keeps_each_first_k(spark):
         from tessera.plans.pairs import top_k_per_group
         return sorted(tuple(r) for r in top_k_per_group(d, "i", [F.col("sim").desc(), F.col("j")], 5).collect())
     assert first(cut) == first(df)
+
+
+def test_candidates_move_once_and_hot_users_split(spark):
+    """One exchange by user serves sums, exclusion and ranking, without an anti
+    join; a user with many ratings is dealt by item and gets the same list."""
+    rows = [(u, (u * 3 + i * (u + 1)) % 17, float(i % 4 + 1)) for u in range(9) for i in range(6)]
+    df = spark.createDataFrame(rows, "user BIGINT, item BIGINT, rating DOUBLE")
+
+    def both():
+        sim, near = C.item_similarity(df), C.user_similarity(df)
+        return C.item_cf_recommend(df, sim, k=4, n=3), C.user_cf_recommend(df, near, k=4, n=3)
+    want = [sorted((r.user, r.item, round(r.score, 9), r.rank) for r in x.collect()) for x in both()]
+    assert all(want)
+    for x in both():
+        plan = x._jdf.queryExecution().optimizedPlan().toString()
+        assert "LeftAnti" not in plan
+    spark.conf.set("tessera.cf.userRows", "2")
+    try:
+        assert [sorted((r.user, r.item, round(r.score, 9), r.rank) for r in x.collect()) for x in both()] == want
+    finally:
+        spark.conf.unset("tessera.cf.userRows")
