@@ -237,3 +237,26 @@ def test_candidates_move_once_and_hot_users_split(spark):
         assert [sorted((r.user, r.item, round(r.score, 9), r.rank) for r in x.collect()) for x in both()] == want
     finally:
         spark.conf.unset("tessera.cf.userRows")
+
+
+def test_lists_per_rating_are_cut_before_anything_moves(spark):
+    """Neighbours meet the ratings as one value an item; the only ranking that
+    moves candidates is the one by user."""
+    rows = [(u, (u * 3 + i * (u + 1)) % 17, float(i % 4 + 1)) for u in range(9) for i in range(6)]
+    df = spark.createDataFrame(rows, "user BIGINT, item BIGINT, rating DOUBLE")
+    sim = C.item_similarity(df)
+    near, want = defaultdict(list), []
+    for i, j, s in sorted(((r.i, r.j, r.sim) for r in sim.collect()), key=lambda x: (-round(x[2], 9), x[1])):
+        near[i].append((j, s))
+    lists = defaultdict(list)
+    best = {}
+    for u, i, r in rows:
+        best[u, i] = max(r, best.get((u, i), 0.0))
+    for (u, i), r in best.items():
+        lists[u] += sorted(((-round(s * r, 6), j, i) for j, s in near[i][:4]))[:3]
+    for u, x in lists.items():
+        want += [(u, i, j, k + 1) for k, (_, j, i) in enumerate(sorted(x)[:3])]
+    recs = C.item_cf_recommend_per_rating(df, sim, k=4, n=3)
+    assert sorted((r.user, r.src_item, r.item, r["rank"]) for r in recs.collect()) == sorted(want)
+    plan = recs._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(x.strip(" +-:").startswith("Window ") for x in plan.splitlines()) == 1
