@@ -59,3 +59,10 @@ def test_slices_and_defined_cases(spark, monkeypatch):
     got = [(r.doc_id, r.n_removed) for r in R.remove_repeats(df).collect()]
     assert sorted(got, key=str) == sorted([(1, 500), (None, 0), (7, 500), (7, 500)], key=str)
     assert R.remove_repeats(df.limit(0)).collect() == []
+
+
+def test_packed_spans_of_single_windows_differ_in_hash(spark):
+    packed = [r[0] for r in spark.range(1000).select(R._span("id", "id")).collect()]
+    assert [R._first_and_last(x) for x in sorted(packed)] == [(i, i) for i in range(1000)]
+    # the hash of a long in Java, which the sets of collect_set use; it was 0 for all of them
+    assert len({(x >> 32) ^ (x & 0xFFFFFFFF) for x in packed}) == 1000
