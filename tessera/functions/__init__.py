@@ -6,6 +6,7 @@ from tessera.functions.expr import (
     array_dot,
     hash_bucket,
     hash_unit,
+    letter_words,
     letters_only,
     logistic_loss_expr,
     split_words,
@@ -17,6 +18,7 @@ __all__ = [
     "array_dot",
     "hash_bucket",
     "hash_unit",
+    "letter_words",
     "letters_only",
     "logistic_loss_expr",
     "split_words",

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.expr import letters_only, split_words
+from tessera.functions.expr import letter_words
 from tessera.plans.iterate import checkpoint
 
 
@@ -22,9 +22,7 @@ def tokenize(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id
 
     Emits one row per token occurrence with the ``keep`` columns carried along.
     """
-    words = df.select(*keep, F.explode(split_words(F.col(text))).alias("_w"))
-    return (words.select(*keep, letters_only(F.col("_w")).alias(out))
-            .where(F.col(out) != ""))
+    return df.select(*keep, F.explode(letter_words(F.col(text))).alias(out))
 
 
 def term_frequency(tokens: DataFrame, by: tuple[str, ...] = (), term: str = "term") -> DataFrame:
@@ -50,7 +48,7 @@ def _marked_tokens(docs: DataFrame, text: str, keep: tuple[str, ...], term: str)
     """(keep..., term, _first): one row per token, ``_first`` is 1 for one of
     the equal tokens of a row and 0 for the others.  A map without a shuffle:
     the words of a row are sorted, and a word is new where the one before differs."""
-    words = F.array_sort(F.filter(F.transform(split_words(F.col(text)), letters_only), lambda w: w != ""))
+    words = F.array_sort(letter_words(F.col(text)))
     rows = docs.select(*keep, words.alias("_words"))
     before = F.concat(F.array(F.lit("")), F.col("_words"))   # one longer: the last pair is cut off
     pairs = F.filter(F.arrays_zip(F.col("_words").alias("w"), before.alias("b")), lambda p: p["w"].isNotNull())
@@ -70,9 +68,10 @@ def term_stats(docs: DataFrame, by: tuple[str, ...] = (), text: str = "text", te
             .withColumn("idf", F.log(n_docs / F.col("df"))))
 
 
-def corpus_tfidf(docs: DataFrame, text: str = "text") -> DataFrame:
-    """T4 over a whole corpus: (term, tf, idf, tfidf) with one shuffle."""
-    st = term_stats(docs, text=text)
+def corpus_tfidf(docs: DataFrame, text: str = "text", stats: DataFrame | None = None) -> DataFrame:
+    """T4 over a whole corpus: (term, tf, idf, tfidf) with one shuffle; none if the
+    ``term_stats`` of ``docs`` are given."""
+    st = term_stats(docs, text=text) if stats is None else stats
     return st.select("term", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 

@@ -84,3 +84,21 @@ def test_text_files_are_documents(spark, tmp_path):
         (tmp_path / name).write_text(text)
     got = {r.path.rsplit("/", 1)[1]: r.text for r in IO.read_text_files(spark, str(tmp_path)).collect()}
     assert got == {"a.txt": "one two\nthree\n", "b.txt": "four", "c.txt": " \n"}
+
+
+def test_text_stripped_as_a_whole_gives_the_words_stripped_one_by_one(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.functions import expr
+    texts = ["Ab-c  d1e\u00a0\u2003x_y\n\t9 \u00e9\u0301t\x1ca\x85b", "", None, " -- ", "\U0001d4d0b \U0001f600 c", "\u0130I"]
+    df = spark.createDataFrame([(t,) for t in texts], "text STRING")
+    one_by_one = F.filter(F.transform(expr.split_words(F.col("text")), expr.letters_only), lambda w: w != "")
+    for whole, each in df.select(expr.letter_words(F.col("text")), one_by_one).collect():
+        assert whole == each
+
+
+def test_stored_scores_share_one_pass_of_statistics(spark, sf, monkeypatch):
+    import __spark_entry__ as E
+    calls, real = [], T.term_stats
+    monkeypatch.setattr(T, "term_stats", lambda *a, **k: calls.append(1) or real(*a, **k))
+    assert E.queries()["cosine_tables"](spark, sf).count() and len(calls) == 1
