@@ -570,9 +570,10 @@ def q_mf_read_ratings(spark, d):
 
 @query("mf_init_profiles")
 def q_mf_init_profiles(spark, d):
-    r = _mf_ratings(spark, d)
-    return (_long(M.init_user_profiles(r, MF_D, MF_SEED), "U")
-            .unionByName(_long(M.init_item_profiles(r, MF_D, MF_SEED), "V")))
+    r = written(_mf_ratings(spark, d), "mf-ratings")
+    # profiles are written before their elements become rows: else each row draws its vector anew
+    U, V = written(M.init_user_profiles(r, MF_D, MF_SEED), "users"), written(M.init_item_profiles(r, MF_D, MF_SEED), "items")
+    return _long(U, "U").unionByName(_long(V, "V"))
 
 
 @query("mf_predict")
@@ -595,8 +596,8 @@ def q_mf_objective(spark, d):
 @query("mf_adapt")
 def q_mf_adapt(spark, d):
     """One update of U and V from the initial profiles (gain 0.001, lam = mu = 1)."""
-    r = _mf_ratings(spark, d)
-    U, V = M.init_user_profiles(r, MF_D, MF_SEED), M.init_item_profiles(r, MF_D, MF_SEED)
+    r = written(_mf_ratings(spark, d), "mf-ratings")
+    U, V = written(M.init_user_profiles(r, MF_D, MF_SEED), "users"), written(M.init_item_profiles(r, MF_D, MF_SEED), "items")
     j = M.predict_ratings(r, U, V)
     return (_long(M.adapt_users(j, U, 0.001, 1.0, MF_D), "U")
             .unionByName(_long(M.adapt_items(j, V, 0.001, 1.0, MF_D), "V")))
