@@ -1,5 +1,6 @@
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import text as T
@@ -86,6 +87,40 @@ def test_text_files_are_documents(spark, tmp_path):
     assert got == {"a.txt": "one two\nthree\n", "b.txt": "four", "c.txt": " \n"}
 
 
+def test_folder_read_in_tasks_equals_the_text_source(spark, tmp_path):
+    import gzip
+
+    from tessera.sources import files as IO
+    (tmp_path / "a b/%é/[x]").mkdir(parents=True)
+    (tmp_path / "_hidden").mkdir()
+    raw = {"a.txt": b"one\r\ntwo\n", "a b/c#d?.txt": b"\xff\xfe bad \xc3", "a b/%\u00e9/e.txt": "\ufeffé\0".encode(),
+           "a b/%\u00e9/[x]/f{1}.txt": b" \n", "a b/empty": b"", "_no": b"x", ".no": b"x", "_k=1": b"yes", "_hidden/a": b"x",
+           "b._COPYING_": b"x", "g.gz": gzip.compress(b"packed"), "a b/%\u00e9/[x]/h{1}.gz": gzip.compress(b"packed too")}
+    for name, body in raw.items():
+        (tmp_path / name).write_bytes(body)
+    got, want = ({(r.path, bytes(r.b)) for r in IO.read_text_files(spark, p).selectExpr("path", "cast(text as binary) b").collect()}
+                 for p in (f"file://{tmp_path}", str(tmp_path)))
+    assert got == want and len(got) == 7
+    (tmp_path / "none").mkdir()
+    assert IO.read_text_files(spark, f"file:{tmp_path}/none").collect() == []
+
+
+def test_written_text_files_share_folders_and_tasks(spark, tmp_path):
+    from tessera.sources import files as IO
+    rows = [(i, f"text {i}\n\u00e9") for i in range(-1, 400)] + [(7, "again"), (7, "again"), (None, "no id"), (500, "")]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    IO.write_text_files(docs.repartition(2), f"file:{tmp_path}/t", "doc_id")
+    # one folder for many documents: they had one each
+    assert len([p for p in (tmp_path / "t").iterdir()]) == 2 and len(list((tmp_path / "t").rglob("*.txt"))) == len(rows)
+    back = IO.read_text_files(spark, f"file:{tmp_path}/t")
+    # a task opened 32 small files at most, so 405 files made more tasks than cores
+    assert back.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    got = back.select(F.regexp_extract("path", r"doc_id=(-?\d+)", 1).try_cast("bigint"), "text").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(((i, t + "\n") for i, t in rows), key=str)
+    with pytest.raises(FileExistsError):
+        IO.write_text_files(docs, f"file:{tmp_path}/t", "doc_id")
+
+
 def test_text_stripped_as_a_whole_gives_the_words_stripped_one_by_one(spark):
     from pyspark.sql import functions as F
 
