@@ -1,5 +1,7 @@
 import hashlib
+import os
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -66,3 +68,35 @@ def test_packed_spans_of_single_windows_differ_in_hash(spark):
     assert [R._first_and_last(x) for x in sorted(packed)] == [(i, i) for i in range(1000)]
     # the hash of a long in Java, which the sets of collect_set use; it was 0 for all of them
     assert len({(x >> 32) ^ (x & 0xFFFFFFFF) for x in packed}) == 1000
+
+
+def test_shuffles_of_staged_tables_go_with_the_write(spark):
+    def shuffles():
+        tops = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for top in tops for _, _, files in os.walk(top) for f in files if f.endswith(".data")}
+
+    before = shuffles()
+    rows = R.remove_repeats(frame(spark, ["same " * 300, "same " * 200, "other"]))
+    end = time.time() + 20
+    while (left := shuffles() - before) and time.time() < end:
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert {r.doc_id: r.n_removed for r in rows.collect()} == {0: 1500, 1: 1000, 2: 0}
+
+
+def test_spans_are_joined_before_they_meet_the_texts(spark, monkeypatch):
+    staged, stage = {}, R.stage
+
+    def recorded(df, name):
+        staged[name] = stage(df, name)
+        return staged[name]
+
+    monkeypatch.setattr(R, "stage", recorded)
+    rng = random.Random(1)
+    base = "".join(rng.choice("abcdefgh") for _ in range(900))
+    texts = [base[:k] + "x" + base[k + 1:] for k in range(0, 900, 50)]
+    got = {r.doc_id: r for r in R.remove_repeats(frame(spark, texts), 40, 8, 2).collect()}
+    kept = {r.doc: r.gone for r in staged["repeats"].collect()}
+    assert {i: len(kept.get(i, [])) for i in got} == {i: r.n_spans for i, r in got.items()}
+    assert {i: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for i, r in got.items()} == dict(enumerate(plain(texts, 40)))
