@@ -260,3 +260,68 @@ def test_lists_per_rating_are_cut_before_anything_moves(spark):
     assert sorted((r.user, r.src_item, r.item, r["rank"]) for r in recs.collect()) == sorted(want)
     plan = recs._jdf.queryExecution().optimizedPlan().toString()
     assert sum(x.strip(" +-:").startswith("Window ") for x in plan.splitlines()) == 1
+
+
+def test_pairs_of_buckets_meet_once_and_parts_hold_members_whole(spark, monkeypatch):
+    """A list goes to half of the buckets; the nearest are counted in parts with the same result."""
+    from tessera.plans import pairs as P
+    rows = sorted({(g, (g * 7 + i * i) % 61) for g in range(80) for i in range(g % 9 + 2)} | {(99, i) for i in range(61)})
+    df = spark.createDataFrame(rows, "g INT, m BIGINT")
+    n = defaultdict(int)
+    for _, m in rows:
+        n[m] += 1
+    for buckets in (1, 5, 8):
+        moved = {}
+        for half in (False, True):
+            pairs = P._Pairs(df, "g", "m", "a", "b", "co", False, 4096)
+            monkeypatch.setattr(pairs, "buckets", buckets)
+            small, _ = P._dealt(buckets, half, 0, 1)
+            pairs.small = spark.createDataFrame(
+                [([(m * 31 % buckets, m, n[m]) for g, m in rows if g == at],) for at in sorted({g for g, _ in rows})],
+                "l ARRAY<STRUCT<k: INT, m: BIGINT, n: BIGINT>>")
+            blobs = [r.blob for r in pairs.small.mapInArrow(small, "k int, blob binary").collect()]
+            moved[half] = sum(len(x) for b in blobs for x in P._runs(bytes(b), P.pa.int64()).column("b").to_pylist())
+            got = {(r.a, r.b): r.co for r in pairs.counted(half).collect()}
+            want = defaultdict(int)
+            for g in {g for g, _ in rows}:
+                for a in (of := [m for x, m in rows if x == g]):
+                    for b in of:
+                        want[a, b] += a != b
+            assert got == {p: c for p, c in want.items() if c}
+        assert buckets < 5 or moved[True] < 0.75 * moved[False]
+    ratings = spark.createDataFrame([(g, m, float((g + m) % 5 + 1)) for g, m in rows], "user BIGINT, item BIGINT, rating DOUBLE")
+
+    def results():
+        sim, near = C.item_similarity(ratings), C.user_similarity(ratings)
+        return [sorted((r.user, r.item, round(r.score, 9), r["rank"]) for r in x.collect()) for x in (
+            C.item_cf_recommend(ratings, sim, 4, 3), C.item_cf_recommend_per_rating(ratings, C.item_similarity(ratings), 4, 3),
+            C.user_cf_recommend(ratings, near, 4, 3))]
+    want, calls = results(), []
+    plain = P._Pairs.counted
+    monkeypatch.setattr(P._Pairs, "counted", lambda self, half, *a: calls.append(a[:2]) or plain(self, half, *a))
+    settings = {"tessera.pairs.part": "2000", "tessera.pairs.bucket": "1000", "tessera.cf.candidates": "2500", "tessera.pairs.hot": "40"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        assert results() == want
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    assert max(a[1] for a in calls if a) > 3
+
+
+def test_a_written_table_leaves_no_shuffle(spark):
+    import os
+    import time
+    from tessera.plans.iterate import written
+
+    def files():
+        local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for d in local for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_") and f.endswith(".data")}
+    before = files()
+    table = written(spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count(), "t")
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and table.count() == 7
